@@ -3,11 +3,13 @@
 from pageloom.llm.chat import OP7_SQL, op7_prefix_targets
 from pageloom.llm.mixing import op9_mix_sources
 from pageloom.llm.packing import op4_pack_mixture
+from pageloom.llm.rans import op5_rans_files
 from pageloom.llm.warc import OP1_SQL, op1_resolve_revisits
 
 QUERIES = {
     "op1_resolve_revisits": op1_resolve_revisits,
     "op4_pack_mixture": op4_pack_mixture,
+    "op5_rans_files": op5_rans_files,
     "op7_prefix_targets": op7_prefix_targets,
     "op9_mix_sources": op9_mix_sources,
 }
