@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,18 @@ def work_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/pageloom-{uuid.uuid4().hex[:12]}/{tag}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """At most ``rows`` rows in an Arrow batch, for plans that hand whole texts to Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -50,7 +64,8 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_path(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").option("parquet.block.size", 32 << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
