@@ -46,7 +46,7 @@ def work_path(spark: SparkSession, tag: str) -> str:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
     """At most ``rows`` rows in an Arrow batch, for plans that hand whole texts to Python."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
