@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.llm.words import chunked
+
 #: A text is cut before a blank, tab or line end that follows anything but
 #: white space, and between a Latin letter and the punctuation marks below.
 #: There every supported pre-tokenizer has a boundary, so pieces can be encoded
@@ -20,12 +22,156 @@ from pyspark.sql import functions as F
 _LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
 #: Texts are joined by NUL, which is a piece of its own.
 PIECE = re.compile(rf"[ \n]?{_LETTER}+(?=[.,;:!?*#%$&\0]|[ \n]{_LETTER})|\s*[^\s\0]+(?:(?=[^\S \n\r\t])\s+[^\s\0]*)*|\s+|\0")
-#: Characters of text that are worked on at once, and what the cache may hold.
-CHUNK, PIECES, IDS = 4_000_000, 600_000, 3_000_000
+#: What the cache may hold.
+PIECES, IDS = 600_000, 3_000_000
 #: A blank after white space, or at the start: such a text is not cut at every blank.
 _ODD = r"^ |[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 
 
+def tokenizer_path(name: str) -> str:
+    """The place of a public vocabulary file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def vocabulary_size(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
+
+
+class PieceTokenizer:
+    """Encodes distinct pieces once and gathers the rest from a bounded cache."""
+
+    _of_process: dict[tuple[str, int], PieceTokenizer] = {}
+
+    @classmethod
+    def shared(cls, path: str, end_id: int) -> PieceTokenizer:
+        """The one of this worker process, so that a later task finds the cache warm."""
+        if (path, end_id) not in cls._of_process:
+            cls._of_process[path, end_id] = cls(path, end_id)
+        return cls._of_process[path, end_id]
+
+    def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.end_id = end_id
+        (self.mark,) = self.tokenizer.encode("!", add_special_tokens=False).ids
+        self._start(["\0"], np.zeros(1, np.int64), np.zeros(0, np.uint32), np.zeros(1, np.int64))
+
+    def _start(self, pieces: list[str], count: np.ndarray, ids: np.ndarray, uses: np.ndarray) -> None:
+        self.index = dict(zip(pieces, range(len(pieces)), strict=True))
+        self.size, self.used = len(pieces), len(ids)
+        self.count = np.resize(count, max(1 << 16, 2 * len(count)))
+        self.first = np.resize(np.cumsum(count) - count, len(self.count))
+        self.uses = np.resize(uses, len(self.count))
+        self.ids = np.zeros(max(1 << 18, 2 * len(ids)), np.uint32)
+        self.ids[: len(ids)] = ids
+
+    def _shrink(self) -> None:
+        """Keep the pieces used most, a third of the room at most."""
+        uses = self.uses[: self.size].copy()
+        uses[0] = np.iinfo(np.int64).max
+        keep = np.flatnonzero(uses >= max(2, np.partition(uses, -PIECES // 3)[-PIECES // 3] + 1))
+        at, ids = self._gather(keep)
+        names = list(self.index)
+        self._start([names[k] for k in keep.tolist()], self.count[keep], ids, self.uses[keep] // 2)
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids up to and with each piece, ids of the pieces)."""
+        n = self.count[at]
+        stop = np.cumsum(n)
+        where = np.repeat(self.first[at] - (stop - n), n)
+        where += np.arange(len(where))
+        return stop, self.ids[where]
+
+    def _learn(self, pieces: list[str]) -> None:
+        words = [p for p in pieces if p.isalpha() or p[0] == " " and p[1:].isalpha()]
+        if len(words) > 1:
+            # Words cannot hold the mark, and it is a token of its own between them.
+            ids = np.array(self.tokenizer.encode_batch_fast(["!".join(words) + "!"], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(ids == self.mark)
+            if len(ends) == len(words):
+                self._add(words, np.diff(ends, prepend=-1) - 1, ids[ids != self.mark])
+                pieces = list(set(pieces).difference(words))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        self._add(pieces, n, np.fromiter(chain.from_iterable(found), np.uint32, int(n.sum())))
+
+    def _add(self, pieces: list[str], n: np.ndarray, flat: np.ndarray) -> None:
+        stop = self.size + len(pieces)
+        if stop > len(self.first):
+            self.first, self.count, self.uses = (np.resize(x, 2 * stop) for x in (self.first, self.count, self.uses))
+        if self.used + len(flat) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (self.used + len(flat)))
+        new = slice(self.size, stop)
+        self.count[new] = n
+        self.first[new] = self.used + np.cumsum(n) - n
+        self.uses[new] = 0
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.index.update(zip(pieces, range(self.size, stop), strict=True))
+        self.size, self.used = stop, self.used + len(flat)
+
+    def _entries(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, ids of all) of texts that NUL ends, cut into cached pieces."""
+        if self.size > PIECES or self.used > IDS:
+            self._shrink()
+        pieces = PIECE.findall(joined)
+        if new := sorted(set(pieces).difference(self.index), key=len):
+            for k in range(0, len(new), 8192):
+                self._learn(new[k : k + 8192])
+        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        self.uses[: self.size] += np.bincount(at, minlength=self.size)
+        stop, ids = self._gather(at)
+        return np.diff(stop[at == 0], prepend=0), ids
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each), the end id after each text.
+
+        Texts are cut at single blanks and equal words met once per call; the
+        few texts where a blank follows white space are cut by PIECE alone.
+        """
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if pc.any(pc.match_substring(texts, "\0")).as_py():
+            found = [np.array([*e.ids, self.end_id], np.uint32) for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.concatenate(found), np.array([len(f) for f in found], np.int64)
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        whole = texts.filter(pa.array(odd)).to_pylist()
+        words = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        flat = words.flatten().dictionary_encode()
+        bounds = words.offsets.to_numpy().astype(np.int64)
+        bounds -= bounds[0]
+        firsts = bounds[:-1]
+        distinct = flat.dictionary.to_pylist()
+        place = flat.indices.to_numpy().astype(np.int64)
+        heads = [distinct[k] for k in place[firsts].tolist()]
+        count, ids = self._entries(" ".join(["", "\0 ".join(distinct) + "\0" * bool(distinct)])[not distinct :] + "\0".join([*heads, *whole, ""]))
+        # One more entry is the end id; every text is a run of entries closed by it.
+        count, ids = np.append(count, 1), np.append(ids, np.uint32(self.end_id))
+        first = np.cumsum(count) - count
+        place[firsts] = len(distinct) + np.arange(len(heads))
+        size = np.ones(len(texts), np.int64)
+        size[~odd] = np.diff(bounds)
+        stops = np.cumsum(size + 1)
+        at = np.full(int(stops[-1]), len(count) - 1, np.int64)
+        own = np.ones(len(at), bool)
+        own[stops - 1] = False
+        of_odd = np.repeat(odd, size)
+        entries = np.empty(len(of_odd), np.int64)
+        entries[~of_odd] = place
+        entries[of_odd] = len(distinct) + len(heads) + np.arange(len(whole))
+        at[own] = entries
+        n = count[at]
+        ends = np.cumsum(n)
+        where = np.repeat(first[at] - (ends - n), n)
+        where += np.arange(len(where))
+        return ids[where], np.diff(ends[stops - 1], prepend=0)
+
+
 def tokenizer_path(name: str) -> str:
     """The place of a public vocabulary file on this machine."""
     import public_tokenizers
@@ -120,20 +266,20 @@ class PieceTokenizer:
         stop, ids = self._gather(at)
         return np.diff(stop[at == 0], prepend=0), ids
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each), the end id after each text.
 
         Texts are cut at single blanks and equal words met once per call; the
         few texts where a blank follows white space are cut by PIECE alone.
         """
-        if not texts:
+        if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        column = pa.array(texts, pa.string())
-        odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
-        if any("\0" in t for t in texts):
-            found = [np.array([*e.ids, self.end_id], np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if pc.any(pc.match_substring(texts, "\0")).as_py():
+            found = [np.array([*e.ids, self.end_id], np.uint32) for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             return np.concatenate(found), np.array([len(f) for f in found], np.int64)
-        words = pc.split_pattern(column.filter(pa.array(~odd)), " ")
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        whole = texts.filter(pa.array(odd)).to_pylist()
+        words = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
         flat = words.flatten().dictionary_encode()
         bounds = words.offsets.to_numpy().astype(np.int64)
         bounds -= bounds[0]
@@ -141,7 +287,6 @@ class PieceTokenizer:
         distinct = flat.dictionary.to_pylist()
         place = flat.indices.to_numpy().astype(np.int64)
         heads = [distinct[k] for k in place[firsts].tolist()]
-        whole = [t for t, o in zip(texts, odd.tolist(), strict=True) if o]
         count, ids = self._entries(" ".join(["", "\0 ".join(distinct) + "\0" * bool(distinct)])[not distinct :] + "\0".join([*heads, *whole, ""]))
         # One more entry is the end id; every text is a run of entries closed by it.
         count, ids = np.append(count, 1), np.append(ids, np.uint32(self.end_id))
@@ -179,10 +324,10 @@ def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield first, held
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int, group: Column) -> DataFrame:
+def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int = 4) -> DataFrame:
     """doc_id, grp, part, seq, at, n, ids of every row of docs(doc_id, text).
 
-    ids: the text's ids and end_id as little-endian uint32. part is the task's
+    ids: the text's ids and end_id, little-endian, ``width`` bytes each. part is the task's
     partition, seq the row's place in it, at the ids before it of the same
     grp (a string) within the partition. These numbers hold once the result is
     written; a partition's rows keep their order.
@@ -195,24 +340,24 @@ def tokenize(docs: DataFrame, path: str, end_id: int, group: Column) -> DataFram
         tokenizer, part, seq = PieceTokenizer.shared(path, end_id), TaskContext.get().partitionId(), 0
         before: dict[str, int] = {}
         for batch in batches:
-            for first, texts in chunks(batch.column("text").to_pylist()):
-                ids, counts = tokenizer.encode(texts)
-                raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts)
-                groups = batch.column("grp").slice(first, len(texts)).to_pylist()
+            for b in chunked(batch):
+                ids, counts = tokenizer.encode(pc.fill_null(b.column("text"), ""))
+                raw, ends = ids.astype(f"<u{width}").tobytes(), np.cumsum(counts)
+                groups = b.column("grp").to_pylist()
                 at = []
                 for g, n in zip(groups, counts.tolist(), strict=True):
                     at.append(before.get(g, 0))
                     before[g] = at[-1] + n
-                offsets = pa.array(np.concatenate([[0], 4 * ends]).astype(np.int32)).buffers()[1]
+                offsets = pa.array(np.concatenate([[0], width * ends]).astype(np.int32)).buffers()[1]
                 yield pa.record_batch(
                     [
-                        batch.column("doc_id").slice(first, len(texts)), pa.array(groups, pa.string()), pa.array(np.full(len(texts), part, np.int32)),
-                        pa.array(np.arange(seq, seq + len(texts))), pa.array(at, pa.int64()), pa.array(counts),
-                        pa.Array.from_buffers(pa.binary(), len(texts), [None, offsets, pa.py_buffer(raw)]),
+                        b.column("doc_id"), b.column("grp"), pa.array(np.full(b.num_rows, part, np.int32)),
+                        pa.array(np.arange(seq, seq + b.num_rows)), pa.array(at, pa.int64()), pa.array(counts),
+                        pa.Array.from_buffers(pa.binary(), b.num_rows, [None, offsets, pa.py_buffer(raw)]),
                     ],
                     schema=fields,
                 )
-                seq += len(texts)
+                seq += b.num_rows
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), group.alias("grp"), "text")
     return source.mapInArrow(run, "doc_id long, grp string, part int, seq long, at long, n long, ids binary")
