@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm.tokens import tokenize, tokenizer_path
+from pageloom.llm.tokens import tokenize, tokenizer_path, vocabulary_size
 from pageloom.session import materialize, table, work_path
 
 END_ID = 1
@@ -197,6 +197,12 @@ def _get(uri: str, name: str) -> bytes:
         return f.read()
 
 
+def _bytes_of(column: pa.BinaryArray) -> memoryview:
+    """All values of a binary column without nulls, one after the other."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return memoryview(column.buffers()[2])[int(ends[0]) : int(ends[-1])] if len(column) else memoryview(b"")
+
+
 def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_ids: int = SHARD) -> DataFrame:
     """Encode docs(doc_id, text) into ``folder``; returns (file, start, n_ids, n_docs) per file.
 
@@ -211,17 +217,18 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_id
     """
     spark = docs.sparkSession
     path = path or tokenizer_path("word_bpe_49k.json")
+    wide = vocabulary_size(path)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     d = d.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    made = materialize(tokenize(d, path, END_ID, F.lit("")), "rans-ids")
+    made = materialize(tokenize(d, path, END_ID, F.lit(""), 2 if wide <= 1 << 16 else 4), "rans-ids")
+    kind = "<u2" if wide <= 1 << 16 else "<u4"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column("ids"):
-                c = np.bincount(np.frombuffer(x.as_buffer(), "<u4"), minlength=len(seen))
-                c[: len(seen)] += seen
-                seen = c
+            c = np.bincount(np.frombuffer(_bytes_of(b.column("ids")), kind), minlength=len(seen))
+            c[: len(seen)] += seen
+            seen = c
         at = np.flatnonzero(seen)
         yield pa.record_batch([pa.array(at), pa.array(seen[at])], names=["id", "n"])
 
@@ -255,7 +262,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_id
                     start = bases[part] + at
                 last = (part, seq)
                 docs_.append(doc)
-                ids.append(np.frombuffer(x.as_buffer(), "<u4"))
+                ids.append(np.frombuffer(x.as_buffer(), kind))
                 size += n
         yield from flush()
 
