@@ -46,17 +46,20 @@ def _search(n_pivots: int, k: int, share: float, least: int):  # noqa: ANN202
         ids = vectors["vec_id"].to_numpy(np.int64)
         perms = np.stack(vectors["pivots"].to_numpy()).astype(np.int64)
         n, depth = perms.shape
-        by = np.argsort(perms.ravel(), kind="stable")  # the inverted files: pivot -> (vector, place)
-        row, place = (by // depth).astype(np.int32), (by % depth + 1).astype(np.int16)
-        starts = np.searchsorted(perms.ravel()[by], np.arange(n_pivots + 1))
+        # The inverted files: row p holds, for every vector of the shard, depth + 1 less the place at
+        # which p stands in its order, 0 where p is not posted. They are kept whole, as each vector
+        # is in depth / n_pivots of all files.
+        files = np.zeros((n_pivots, n), np.uint8 if depth < 255 else np.uint16)
+        files[perms.ravel(), np.repeat(np.arange(n), depth)] = np.tile(np.arange(depth, 0, -1), n)
+        part, gain = np.empty(n, files.dtype), np.empty(n, np.int32)
         want = min(n, max(least, int(np.ceil(share * n))))
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for qid, q, perm in zip(queries["vec_id"].to_numpy(np.int64), queries["embedding"], queries["pivots"], strict=True):
-            # Footrule distance with missing pivots at place depth + 1 is a constant less twice this sum.
-            gain = np.zeros(n, np.int32)
-            for at, p in enumerate(perm.tolist(), 1):
-                lo, hi = starts[p], starts[p + 1]
-                gain[row[lo:hi]] += depth + 1 - np.maximum(place[lo:hi], at)
+            # Footrule distance, pivots that are not posted at place depth + 1: a constant less twice this sum.
+            gain[:] = 0
+            for at, p in enumerate(perm.tolist()):
+                np.minimum(files[p], depth - at, out=part)
+                gain += part
             gain[ids == qid] = -1
             near = np.argpartition(-gain, want - 1)[:want] if want < n else np.arange(n)
             near = near[ids[near] != qid]
@@ -102,7 +105,7 @@ def nearest(
     depth = min(depth, len(pivots))
     index = materialize(v.mapInArrow(_order(pivots, depth), "vec_id long, embedding array<float>, pivots array<smallint>"), "permutations")
     n = shape["n"]
-    shard_rows = max(shard_rows, min(65536, n // 32))
+    shard_rows = max(shard_rows, min(65536, -(-n // 8)))
     asked = index.where(is_query)
     shards, blocks = -(-n // shard_rows), max(1, -(-asked.count() // query_rows))
     left = index.withColumn("s", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
