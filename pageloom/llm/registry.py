@@ -1,6 +1,7 @@
 """Queries of this package and their SQL."""
 
 from pageloom.llm.chat import OP7_SQL, op7_prefix_targets
+from pageloom.llm.jaccard import op3_jaccard_join
 from pageloom.llm.language import op2_language
 from pageloom.llm.mixing import op9_mix_sources
 from pageloom.llm.near_vectors import op10_near_vectors
@@ -13,6 +14,7 @@ from pageloom.llm.warc import OP1_SQL, op1_resolve_revisits
 QUERIES = {
     "op1_resolve_revisits": op1_resolve_revisits,
     "op2_language": op2_language,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_pack_mixture": op4_pack_mixture,
     "op5_rans_files": op5_rans_files,
     "op6_permutation_search": op6_permutation_search,
