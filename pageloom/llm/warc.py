@@ -64,8 +64,11 @@ def resolve_revisits(records: DataFrame, permitted: tuple[str, ...] = PERMITTED,
     points = points.withColumn("own", F.max(last).over(inner)).join(carried, ["canonical_url", "cut"])
     prior = points.select("canonical_url", "ts", F.coalesce("own", "carried").getField("at_id").alias("_prior")).where("_prior IS NOT NULL")
     fields = F.struct("ts", "payload", "etag", "last_modified", F.map_entries(_lower(F.col("headers"))).alias("h"))
-    stored = r.where(full).groupBy(F.col("record_id").alias("_prior")).agg(F.min(fields).alias("_stored"))
-    revisits = r.where("rtype = 'revisit'").join(prior, ["canonical_url", "ts"], "left").join(stored, "_prior", "left")
+    stored = r.where(full).groupBy(F.col("record_id").alias("_prior")).agg(F.min(fields).alias("_stored")).withColumn("_salt", F.lit(0))
+    revisits = r.where("rtype = 'revisit'").join(prior, ["canonical_url", "ts"], "left")
+    # Revisits without a prior response find nothing; the salt spreads them over all tasks.
+    salt = F.when(F.col("_prior").isNull(), F.pmod(F.xxhash64("record_id", "ts"), F.lit(4096)).cast("int") + 1).otherwise(0)
+    revisits = revisits.withColumn("_salt", salt).join(stored, ["_prior", "_salt"], "left").drop("_salt")
     s = F.col("_stored")
     tag = lambda c: F.regexp_replace(c, "^W/", "")
     agree = F.when(F.col("etag").isNotNull() & s["etag"].isNotNull(), tag(F.col("etag")) == tag(s["etag"])).when(
