@@ -7,10 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.tokens import tokenize, tokenizer_path
+from pageloom.llm.tokens import ids_to_crc32, tokenize, tokenizer_path
 from pageloom.session import materialize, table
 
 END_ID = 1
+#: Bytes of an id in the work table and in ``ids``; enough for vocabularies up to 65536.
+WIDTH = 2
 BLOCKS = 4096
 
 
@@ -32,13 +34,13 @@ def pack(docs: DataFrame, path: str | None = None, window: int = 2048, packet: i
     so that all queues end together. Unlisted sources weigh 1. An emptied
     queue leaves its part of a round to the others.
 
-    Null text is empty (one id), null source is a source of its own. Repeated
+    ids holds WIDTH bytes an id, little-endian. Null text is empty (one id), null source is a source of its own. Repeated
     rows are separate documents. Documents are read once and never shuffled
     whole until pieces meet ids by (part, seq); rounds, not sources, deal out
     the sort, so a hot source is no hot task. An empty table gives no rows.
     """
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-"))
-    made = materialize(tokenize(docs, path or tokenizer_path("byte_bpe_50k.json"), END_ID, key), "packing-ids")
+    made = materialize(tokenize(docs, path or tokenizer_path("byte_bpe_50k.json"), END_ID, key, WIDTH), "packing-ids")
     sums = made.groupBy("grp", "part").agg(F.sum("n").alias("n"))
     before = Window.partitionBy("grp").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     all_ = Window.partitionBy("grp")
@@ -71,13 +73,14 @@ def pack(docs: DataFrame, path: str | None = None, window: int = 2048, packet: i
     hi = F.least(F.col("pos") + F.col("len"), (F.col("w") + 1) * window)
     piece = F.struct((F.col("start") + lo - F.col("pos")).alias("start"), (hi - lo).alias("length"), F.col("w").alias("sequence_id"), (lo - F.col("w") * window).alias("offset"))
     pieces = d.select("part", "seq", piece.alias("p")).groupBy("part", "seq").agg(F.collect_list("p").alias("p"))
-    cut = F.transform("p", lambda p: F.struct(*[p[c].alias(c) for c in ("start", "length", "sequence_id", "offset")], F.substring(F.col("ids"), (4 * p["start"] + 1).cast("int"), (4 * p["length"]).cast("int")).alias("ids")))
+    cut = F.transform("p", lambda p: F.struct(*[p[c].alias(c) for c in ("start", "length", "sequence_id", "offset")], F.substring(F.col("ids"), (WIDTH * p["start"] + 1).cast("int"), (WIDTH * p["length"]).cast("int")).alias("ids")))
     out = made.join(pieces, ["part", "seq"]).select("doc_id", F.col("n").alias("doc_tokens"), F.when(F.col("grp") != "-", F.expr("substring(grp, 2)")).alias("source"), F.explode(cut).alias("c"))
     return out.select("doc_id", "c.start", "c.length", "c.ids", "doc_tokens", "c.sequence_id", "c.offset", "source")
 
 
 def digest(pieces: DataFrame) -> DataFrame:
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
+    out = ids_to_crc32(pieces, WIDTH)
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")
 
 
 def op4_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageloom.llm.words import chunked
 
@@ -324,6 +326,28 @@ def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield first, held
 
 
+def bytes_of(column: pa.BinaryArray) -> memoryview:
+    """All values of a binary column without nulls, one after the other."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return memoryview(column.buffers()[2])[int(ends[0]) : int(ends[-1])] if len(column) else memoryview(b"")
+
+
+def ids_to_crc32(df: DataFrame, width: int) -> DataFrame:
+    """Column ids (``width`` bytes each) replaced by ids_crc32, the checksum of the ids as little-endian uint32."""
+    names = [c for c in df.columns if c != "ids"]
+    schema = T.StructType([*[df.schema[c] for c in names], T.StructField("ids_crc32", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("ids")
+            raw = memoryview(np.frombuffer(bytes_of(ids), f"<u{width}").astype("<u4").tobytes())
+            cut = np.cumsum(np.concatenate([[0], pc.binary_length(ids).to_numpy().astype(np.int64) * 4 // width])).tolist()
+            crc = [zlib.crc32(raw[a:z]) for a, z in zip(cut[:-1], cut[1:], strict=True)]
+            yield pa.record_batch([*[b.column(c) for c in names], pa.array(crc, pa.int64())], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int = 4) -> DataFrame:
     """doc_id, grp, part, seq, at, n, ids of every row of docs(doc_id, text).
 
