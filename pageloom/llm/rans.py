@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm.tokens import tokenize, tokenizer_path, vocabulary_size
+from pageloom.llm.tokens import bytes_of, tokenize, tokenizer_path, vocabulary_size
 from pageloom.session import materialize, table, work_path
 
 END_ID = 1
@@ -197,12 +197,6 @@ def _get(uri: str, name: str) -> bytes:
         return f.read()
 
 
-def _bytes_of(column: pa.BinaryArray) -> memoryview:
-    """All values of a binary column without nulls, one after the other."""
-    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    return memoryview(column.buffers()[2])[int(ends[0]) : int(ends[-1])] if len(column) else memoryview(b"")
-
-
 def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_ids: int = SHARD) -> DataFrame:
     """Encode docs(doc_id, text) into ``folder``; returns (file, start, n_ids, n_docs) per file.
 
@@ -226,7 +220,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_id
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
         for b in batches:
-            c = np.bincount(np.frombuffer(_bytes_of(b.column("ids")), kind), minlength=len(seen))
+            c = np.bincount(np.frombuffer(bytes_of(b.column("ids")), kind), minlength=len(seen))
             c[: len(seen)] += seen
             seen = c
         at = np.flatnonzero(seen)
@@ -269,8 +263,8 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_id
     return materialize(made.drop("grp").mapInArrow(write, "file string, start long, n_ids long, n_docs long"), "rans-files")
 
 
-def read_tokens(files: DataFrame, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids (little-endian uint32) of every document in the files.
+def read_tokens(files: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and (if asked for) ids, as little-endian uint32, of every document in the files.
 
     A task decodes file after file and block after block; the files are dealt
     out evenly. Any damage raises.
@@ -286,15 +280,18 @@ def read_tokens(files: DataFrame, folder: str) -> DataFrame:
                 for k in range(0, len(docs), 1000):
                     n, e = lengths[k : k + 1000], ends[k : k + 1000]
                     lo = int(e[0] - n[0])
-                    offsets = pa.array(np.concatenate([[0], 4 * (e - lo)]).astype(np.int32)).buffers()[1]
-                    raw = pa.py_buffer(ids[lo : e[-1]].tobytes())
-                    yield pa.record_batch([pa.array(docs[k : k + 1000], pa.int64()), pa.array(start + e - n), pa.array(n), pa.Array.from_buffers(pa.binary(), len(n), [None, offsets, raw])], names=["doc_id", "start", "n_tokens", "ids"])
+                    raw, cut = memoryview(ids[lo : e[-1]].tobytes()), np.concatenate([[0], 4 * (e - lo)])
+                    crc = [zlib.crc32(raw[a:z]) for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+                    out = [pa.array(docs[k : k + 1000], pa.int64()), pa.array(start + e - n), pa.array(n), pa.array(crc, pa.int64())]
+                    if with_ids:
+                        out.append(pa.Array.from_buffers(pa.binary(), len(n), [None, pa.array(cut.astype(np.int32)).buffers()[1], pa.py_buffer(raw)]))
+                    yield pa.record_batch(out, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(out)])
 
     n = max(1, min(files.count(), 100_000))
-    return files.select("file").repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return files.select("file").repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def op5_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_path(spark, "rans")
     files = write_tokens(table(spark, sf_dir, "documents"), folder)
-    return read_tokens(files, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_tokens(files, folder, with_ids=False)
