@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pageloom.llm.words import WIDTH, Words, chunked, letters, mix, split_words
@@ -265,7 +265,7 @@ def paths(reps: DataFrame, runs: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
-    """doc_id, th, class_id, n_links, kept_row for every row of docs(doc_id, text).
+    """doc_id, th, class_id, n_links, component for every row of docs(doc_id, text).
 
     Texts link when the Jaccard similarity of their sets of five-word shingles
     is at least 0.8. Equal sets are one class, met once whatever the number
@@ -279,7 +279,7 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
 
     class_id is the smallest doc_id of the texts that links connect, n_links
     the number of other rows linked directly (copies included). th is
-    xxhash64(text). Text that is null or has no words links with nothing and
+    xxhash64(text), component the class's own number (null: no words). Text that is null or has no words links with nothing and
     is its own class. Shorter texts than five words are one shingle. Null
     doc_id takes part; a class of such rows alone has a null id. An empty
     table gives no rows; other columns are ignored.
@@ -320,9 +320,27 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
     comp = connected_components(links, "rid", "root").withColumnRenamed("id", "rid")
     named = classes.select("rid", "k1", "k2", "n", "copies", "least").join(per_class, "rid", "left").join(comp, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     least = named.groupBy("component").agg(F.min("least").alias("class_id"))
-    named = named.join(least, "component").select("k1", "k2", "n", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    own = rows.where("n = 0").select("doc_id", "th", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return rows.where("n > 0").join(named, ["k1", "k2", "n"]).select("doc_id", "th", "class_id", "n_links").unionByName(own)
+    named = named.join(least, "component").select("k1", "k2", "n", "class_id", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    own = rows.where("n = 0").select("doc_id", "th", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component"))
+    return rows.where("n > 0").join(named, ["k1", "k2", "n"]).select("doc_id", "th", "class_id", "n_links", "component").unionByName(own)
+
+
+def one_of_each(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
+    """The rows of docs without near copies: of each class the row of the smallest (doc_id, text hash) stays.
+
+    Rows without words all stay. Of rows equal in doc_id and text one stays.
+    """
+    def key(d: DataFrame) -> DataFrame:
+        return d.withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_dn": F.col("doc_id").isNull(), "_t": F.coalesce("th", F.lit(0))})
+
+    keys = ["_d", "_dn", "_t"]
+    found = near_duplicates(docs, recall)
+    first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("f")).select("f.doc_id", "f.th", F.lit(True).alias("_single"))
+    bare = found.where("component IS NULL").select("doc_id", "th", F.lit(False).alias("_single")).distinct()
+    kept = key(first.unionByName(bare)).select(*keys, "_single").distinct()
+    d = key(docs.withColumn("th", F.xxhash64("text"))).join(kept, keys)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns])))
+    return d.withColumn("_rank", rank).where(~F.col("_single") | (F.col("_rank") == 1)).select(*docs.columns)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
