@@ -8,10 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.words import WIDTH, Words, chunked, letters, mix, split_words
+from pageloom.llm.words import WIDTH, chunked, lean, letters, mix, sliced, split_words
 from pageloom.operators.graph import connected_components
 from pageloom.session import materialize, shared_dir, table
 
@@ -39,14 +40,14 @@ def runs_for(recall: float, similarity: float = THRESHOLD, depth: int = DEPTH) -
     return math.ceil(math.log(1 - recall) / math.log(1 - q))
 
 
-def word_hashes(w: Words) -> np.ndarray:
-    points, n = letters(w.distinct)
+def word_hashes(words: pa.StringArray) -> np.ndarray:
+    points, n = letters(words)
     h = np.zeros(len(n), np.uint64)
     for k in range(min(WIDTH, int(n.max()) if len(n) else 0)):
         h = np.where(n > k, (h + points[:, k].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), h)
         h ^= np.where(n > k, h >> np.uint64(29), np.uint64(0))
     for k in np.flatnonzero(n > WIDTH).tolist():
-        h[k] = int.from_bytes(hashlib.blake2b(w.distinct[k].as_py().encode(), digest_size=8).digest(), "little")
+        h[k] = int.from_bytes(hashlib.blake2b(words[k].as_py().encode(), digest_size=8).digest(), "little")
     return mix(h)
 
 
@@ -57,9 +58,9 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     SHINGLE words has one shingle, of all its words; one without words none.
     """
     w = split_words(texts, "")
-    full = (np.array([len(x) for x in w.distinct.to_pylist()], np.int64) > 0)[w.codes] if len(w.codes) else np.zeros(0, bool)
+    full = (pc.binary_length(w.distinct).to_numpy() > 0)[w.codes] if len(w.codes) else np.zeros(0, bool)
     kept = np.concatenate([[0], np.cumsum(full)])
-    bounds, h = kept[w.bounds], word_hashes(w)[w.codes[full]]
+    bounds, h = kept[w.bounds], sliced(word_hashes, w.distinct)[w.codes[full]]
     size = np.diff(bounds)
     parts, count = [], np.zeros(len(size), np.int64)
     rolled = np.zeros(max(0, len(h) - SHINGLE + 1), np.uint64)
@@ -285,12 +286,12 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
     table gives no rows; other columns are ignored.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    rows = materialize(d.mapInArrow(_sketch, "doc_id long, th long, k1 long, k2 long, n long, sig array<int>"), "jaccard-samples")
+    rows = materialize(d.mapInArrow(lean(_sketch), "doc_id long, th long, k1 long, k2 long, n long, sig array<int>"), "jaccard-samples")
     classes = rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"), F.first("sig").alias("sig"))
     classes = materialize(classes.withColumn("rid", F.monotonically_increasing_id()), "jaccard-classes")
     leaves = paths(classes.select("rid", "sig"), runs_for(recall))
     met = _blocks(leaves, ["path"]).join(classes.select("rid", "n", "sig"), "rid")
-    spans = materialize(_dealt(met, ["path"]).mapInArrow(_grouped(["path", "bi", "bj"], _candidates), "rid long, root long"), "jaccard-spans")
+    spans = materialize(_dealt(met, ["path"]).mapInArrow(lean(_grouped(["path", "bi", "bj"], _candidates)), "rid long, root long"), "jaccard-spans")
     hang = connected_components(spans, "rid", "root").select(F.col("id").alias("rid"), F.col("component").alias("comp")).checkpoint()
     chosen = hang.join(classes, "rid").select("rid", "comp", "k1", "k2", "n", "copies", "sig", "least")
 
@@ -310,12 +311,12 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
                 at = pa.array(np.concatenate([[0], 8 * np.cumsum(count)]).astype(np.int32)).buffers()[1]
                 yield pa.record_batch([pa.array(k1), pa.array(k2), pa.array(count), pa.Array.from_buffers(pa.binary(), b.num_rows, [None, at, pa.py_buffer(sets.tobytes())])], names=["k1", "k2", "n", "shingles"])
 
-    read = docs.select(_slot(F.col("doc_id").cast("long")).alias("s"), "text").mapInArrow(again, "k1 long, k2 long, n long, shingles binary")
+    read = docs.select(_slot(F.col("doc_id").cast("long")).alias("s"), "text").mapInArrow(lean(again), "k1 long, k2 long, n long, shingles binary")
     full = read.join(chosen, ["k1", "k2", "n"]).groupBy("rid").agg(*[F.first(c).alias(c) for c in ("comp", "n", "copies", "sig", "shingles")])
     full = materialize(full, "jaccard-sets")
     sizes = full.groupBy("comp").agg(F.count("*").alias("m")).where("m > 1")
     dealt = _blocks(full.select("rid", "comp").join(sizes, "comp"), ["comp"]).join(full.drop("comp"), "rid")
-    links = materialize(_dealt(dealt, ["comp"]).mapInArrow(_grouped(["comp", "bi", "bj"], _exact), "rid long, root long, links long"), "jaccard-links")
+    links = materialize(_dealt(dealt, ["comp"]).mapInArrow(lean(_grouped(["comp", "bi", "bj"], _exact)), "rid long, root long, links long"), "jaccard-links")
     per_class = links.groupBy("rid").agg(F.sum("links").alias("links"))
     comp = connected_components(links, "rid", "root").withColumnRenamed("id", "rid")
     named = classes.select("rid", "k1", "k2", "n", "copies", "least").join(per_class, "rid", "left").join(comp, "rid", "left").withColumn("component", F.coalesce("component", "rid"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,10 +15,29 @@ import pyarrow.compute as pc
 #: Characters of a word that hashes look at; longer words count their length too.
 WIDTH = 32
 #: Characters of text worked on at once.
-CHUNK = 8_000_000
+CHUNK = 4_000_000
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1, 2**63, WIDTH, dtype=np.uint64) | np.uint64(1)
 
 
+def lean(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A mapInArrow function after which the worker process gives its free memory back.
+
+    Workers live on between tasks; what one stage has freed must not count
+    against the next one's executor.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 @dataclass
 class Words:
     """bounds[i]..bounds[i+1] are text i's words in codes, which index distinct."""
@@ -43,6 +65,11 @@ def letters(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(words.to_pylist(), dtype=f"U{WIDTH}").view(np.uint32).reshape(len(words), WIDTH), n
 
 
+def sliced(work: Callable[[pa.StringArray], np.ndarray], words: pa.StringArray, step: int = 50_000) -> np.ndarray:
+    """``work`` of all words, ``step`` words at a time: its inner tables stay small."""
+    return np.concatenate([work(words.slice(k, step)) for k in range(0, max(len(words), 1), step)])
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(31))
     h *= np.uint64(0x9E3779B97F4A7C15)
