@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import WIDTH, chunked, letters, mix, prefix_hashes, split_words
+from pageloom.llm.words import WIDTH, chunked, lean, letters, mix, prefix_hashes, split_words
 from pageloom.session import materialize, table
 
 TRIM = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”„‘’…–—¡¿0123456789"
@@ -181,7 +181,7 @@ def label(docs: DataFrame, model: Model, keep: Sequence[str]) -> DataFrame:
                 yield pa.record_batch([*[b.column(c) for c in names], pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(share.tolist(), pa.list_(pa.float64()))], names=[f.name for f in schema])
 
     source = docs.select(*dict.fromkeys([*names, "text"]))
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def held_out(modulus: int, rest: int) -> Column:

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.llm.tokens import bytes_of, tokenize, tokenizer_path, vocabulary_size
+from pageloom.llm.words import lean
 from pageloom.session import materialize, table, work_path
 
 END_ID = 1
@@ -226,7 +227,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_id
         at = np.flatnonzero(seen)
         yield pa.record_batch([pa.array(at), pa.array(seen[at])], names=["id", "n"])
 
-    counts = made.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts = made.select("ids").mapInArrow(lean(count), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     t = Table(counts["id"].to_numpy(np.uint32), counts["n"].to_numpy(np.int64))
     raw_table = t.to_bytes()
     _put(folder, "table.rans", raw_table)
@@ -260,7 +261,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_id
                 size += n
         yield from flush()
 
-    return materialize(made.drop("grp").mapInArrow(write, "file string, start long, n_ids long, n_docs long"), "rans-files")
+    return materialize(made.drop("grp").mapInArrow(lean(write), "file string, start long, n_ids long, n_docs long"), "rans-files")
 
 
 def read_tokens(files: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
@@ -288,7 +289,7 @@ def read_tokens(files: DataFrame, folder: str, with_ids: bool = True) -> DataFra
                     yield pa.record_batch(out, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(out)])
 
     n = max(1, min(files.count(), 100_000))
-    return files.select("file").repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+    return files.select("file").repartition(n).mapInArrow(lean(read), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def op5_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:

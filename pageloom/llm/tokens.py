@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import chunked
+from pageloom.llm.words import chunked, lean
 
 #: A text is cut before a blank, tab or line end that follows anything but
 #: white space, and between a Latin letter and the punctuation marks below.
@@ -25,7 +25,7 @@ _LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
 #: Texts are joined by NUL, which is a piece of its own.
 PIECE = re.compile(rf"[ \n]?{_LETTER}+(?=[.,;:!?*#%$&\0]|[ \n]{_LETTER})|\s*[^\s\0]+(?:(?=[^\S \n\r\t])\s+[^\s\0]*)*|\s+|\0")
 #: What the cache may hold.
-PIECES, IDS = 600_000, 3_000_000
+PIECES, IDS = 500_000, 3_000_000
 #: A blank after white space, or at the start: such a text is not cut at every blank.
 _ODD = r"^ |[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 
@@ -345,7 +345,7 @@ def ids_to_crc32(df: DataFrame, width: int) -> DataFrame:
             crc = [zlib.crc32(raw[a:z]) for a, z in zip(cut[:-1], cut[1:], strict=True)]
             yield pa.record_batch([*[b.column(c) for c in names], pa.array(crc, pa.int64())], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int = 4) -> DataFrame:
@@ -384,4 +384,4 @@ def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int
                 seq += b.num_rows
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), group.alias("grp"), "text")
-    return source.mapInArrow(run, "doc_id long, grp string, part int, seq long, at long, n long, ids binary")
+    return source.mapInArrow(lean(run), "doc_id long, grp string, part int, seq long, at long, n long, ids binary")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import Words, chunked, letters, mix, prefix_hashes, split_words
+from pageloom.llm.words import Words, chunked, lean, letters, mix, prefix_hashes, sliced, split_words
 from pageloom.session import materialize, table
 
 TRIM = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„‘’…–—¡¿"
@@ -184,6 +184,10 @@ class Restorer:
 
 def hashes(words: pa.StringArray) -> np.ndarray:
     """[n, 6] keys: the word, and its beginnings of 3 to 7 letters (0: too short)."""
+    return sliced(_hashes, words)
+
+
+def _hashes(words: pa.StringArray) -> np.ndarray:
     points, n = letters(words)
     heads = prefix_hashes(points)
     keys = [mix(heads[:, -1] + n.astype(np.uint64) * np.uint64(7919) + np.uint64(1))]
@@ -222,17 +226,18 @@ def char_model(docs: DataFrame) -> CharModel:
                 w = split_words(b.column("text"), TRIM)
                 clean = np.flatnonzero(pc.match_substring_regex(w.distinct, r"^\pL+$").to_numpy(zero_copy_only=False))
                 uses = np.bincount(w.codes, minlength=len(w.distinct))[clean]
-                points, _ = letters(w.distinct.take(pa.array(clean)))
-                points = np.pad(points, ((0, 0), (2, 1))).astype(np.int64)
-                grams = (points[:, :-2] << 42) | (points[:, 1:-1] << 21) | points[:, 2:]
-                real = (points[:, 1:-1] != 0) | (points[:, 2:] != 0)
-                k, at = np.unique(grams[real], return_inverse=True)
-                n = np.bincount(at, weights=np.broadcast_to(uses[:, None], real.shape)[real], minlength=len(k)).astype(np.int64)
-                for g, c in zip(k.tolist(), n.tolist(), strict=True):
-                    total[g] = total.get(g, 0) + c
+                for lo in range(0, len(clean), 50_000):
+                    points, _ = letters(w.distinct.take(pa.array(clean[lo : lo + 50_000])))
+                    points = np.pad(points, ((0, 0), (2, 1))).astype(np.int64)
+                    grams = (points[:, :-2] << 42) | (points[:, 1:-1] << 21) | points[:, 2:]
+                    real = (points[:, 1:-1] != 0) | (points[:, 2:] != 0)
+                    k, at = np.unique(grams[real], return_inverse=True)
+                    n = np.bincount(at, weights=np.broadcast_to(uses[lo : lo + 50_000, None], real.shape)[real], minlength=len(k)).astype(np.int64)
+                    for g, c in zip(k.tolist(), n.tolist(), strict=True):
+                        total[g] = total.get(g, 0) + c
         yield pa.record_batch([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["g", "n"])
 
-    summed = docs.select("text").where(F.col("text").isNotNull()).mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    summed = docs.select("text").where(F.col("text").isNotNull()).mapInArrow(lean(run), "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
     top = summed.orderBy(F.desc("n"), "g").limit(200_000).collect()  # of the alphabets' trigrams, the commonest
     return CharModel({"".join(chr((g >> s) & 0x1FFFFF) for s in (42, 21, 0)): n for g, n in top})
 
@@ -267,7 +272,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = 6000, mo
                 cut = np.searchsorted(rows, np.arange(b.num_rows + 1)).astype(np.int32)
                 yield pa.record_batch([b.column("toxic").cast(pa.int32()), pa.ListArray.from_arrays(pa.array(cut), pa.array(keys))], names=["toxic", "keys"])
 
-    made = materialize(sample.mapInArrow(run, "toxic int, keys array<long>"), "toxic-keys")
+    made = materialize(sample.mapInArrow(lean(run), "toxic int, keys array<long>"), "toxic-keys")
     size = {r["toxic"]: r["count"] for r in made.groupBy("toxic").count().collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
@@ -291,7 +296,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = 6000, mo
             cut = np.searchsorted(rows[hit], np.arange(x.num_rows + 1)).astype(np.int32)
             yield pa.record_batch([x.column("toxic"), pa.ListArray.from_arrays(pa.array(cut), pa.array(at[hit].astype(np.int32)))], names=["toxic", "at"])
 
-    rows = made.mapInArrow(found, "toxic int, at array<int>").collect()
+    rows = made.mapInArrow(lean(found), "toxic int, at array<int>").collect()
     rows.sort(key=lambda r: (r["toxic"], r["at"]))
     y = np.array([float(r["toxic"]) for r in rows])
     doc = np.repeat(np.arange(len(rows)), [len(r["at"]) for r in rows])
@@ -362,7 +367,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str], restored: bool = F
                 yield pa.record_batch(out, names=[f.name for f in schema])
 
     source = docs.select(*dict.fromkeys([*names, "text"]))
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def held_out(modulus: int, rest: int) -> Column:
