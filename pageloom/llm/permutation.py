@@ -14,14 +14,30 @@ from pageloom.llm.vectors import matrix, usable
 from pageloom.session import materialize, table
 
 
-def _order(pivots: np.ndarray, nearest: int):  # noqa: ANN202
+#: A vector whose order agrees with the query's to this part of a perfect agreement is always scored.
+ALIKE = 0.7
+
+
+def _lifted(x: np.ndarray, norm: float) -> np.ndarray:
+    """Vectors with one more component that gives all the same length: largest inner product becomes smallest angle."""
+    rest = np.sqrt(np.maximum(norm * norm - (x * x).sum(axis=1), 0.0))
+    return np.concatenate([x, rest[:, None]], axis=1)
+
+
+def _order(pivots: np.ndarray, nearest: int, norm: float):  # noqa: ANN202
+    """Adds a vector's nearest pivots in order: ``pivots`` of the lifted vector, ``asked`` of the vector as a query."""
+    lifted = _lifted(pivots, norm)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                near = matrix(b.column("embedding")) @ pivots.T
-                order = np.argsort(-near, axis=1, kind="stable")[:, :nearest].astype(np.int16)
-                offsets = pa.array(np.arange(0, order.size + 1, order.shape[1], dtype=np.int32))
-                yield pa.record_batch([b.column("vec_id"), b.column("embedding"), pa.ListArray.from_arrays(offsets, pa.array(order.ravel()))], names=["vec_id", "embedding", "pivots"])
+                x = matrix(b.column("embedding"))
+                out = []
+                for near in (_lifted(x, norm) @ lifted.T, x @ pivots.T):
+                    order = np.argsort(-near, axis=1, kind="stable")[:, :nearest].astype(np.int16)
+                    offsets = pa.array(np.arange(0, order.size + 1, order.shape[1], dtype=np.int32))
+                    out.append(pa.ListArray.from_arrays(offsets, pa.array(order.ravel())))
+                yield pa.record_batch([b.column("vec_id"), b.column("embedding"), *out], names=["vec_id", "embedding", "pivots", "asked"])
 
     return run
 
@@ -54,15 +70,15 @@ def _search(n_pivots: int, k: int, share: float, least: int):  # noqa: ANN202
         part, gain = np.empty(n, files.dtype), np.empty(n, np.int32)
         want = min(n, max(least, int(np.ceil(share * n))))
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for qid, q, perm in zip(queries["vec_id"].to_numpy(np.int64), queries["embedding"], queries["pivots"], strict=True):
+        for qid, q, perm in zip(queries["vec_id"].to_numpy(np.int64), queries["embedding"], queries["asked"], strict=True):
             # Footrule distance, pivots that are not posted at place depth + 1: a constant less twice this sum.
             gain[:] = 0
             for at, p in enumerate(perm.tolist()):
                 np.minimum(files[p], depth - at, out=part)
                 gain += part
             gain[ids == qid] = -1
-            near = np.argpartition(-gain, want - 1)[:want] if want < n else np.arange(n)
-            near = near[ids[near] != qid]
+            least_gain = np.partition(gain, n - want)[n - want]
+            near = np.flatnonzero(gain >= max(0, min(least_gain, ALIKE * depth * (depth + 1) / 2)))
             score = x[near] @ np.asarray(q, np.float64)
             best = np.lexsort((ids[near], -score))[:k]
             out.append((np.full(len(best), qid), ids[near][best], score[best]))
@@ -84,7 +100,10 @@ def nearest(
     by its ``depth`` nearest pivots in order and lies in one shard. A task
     takes a shard and a block of queries, posts the shard in pivot inverted
     files, ranks by footrule distance over them, and scores the nearest
-    ``share`` of the shard (``least`` at least) exactly, in double precision.
+    ``share`` of the shard (``least`` at least) exactly, in double precision,
+    and with them all whose order is nearly the query's, so that a group of
+    near copies is scored whole whatever its size. Indexed vectors are lifted
+    to one length first, so that order by angle is order by inner product.
     The queries are a stated set, met with all rows in blocks: (shards x query
     blocks) tasks of bounded size. Measured recall is in the tests.
 
@@ -103,13 +122,15 @@ def nearest(
     sample = v.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(8 * n_pivots).select("embedding").toPandas()
     pivots = spread(np.stack(sample["embedding"].to_numpy()).astype(np.float64), n_pivots)
     depth = min(depth, len(pivots))
-    index = materialize(v.mapInArrow(_order(pivots, depth), "vec_id long, embedding array<float>, pivots array<smallint>"), "permutations")
+    norm = v.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda s, c: s + c.cast("double") * c))).first()[0] ** 0.5
+    fields = "vec_id long, embedding array<float>, pivots array<smallint>, asked array<smallint>"
+    index = materialize(v.mapInArrow(_order(pivots, depth, norm), fields), "permutations")
     n = shape["n"]
     shard_rows = max(shard_rows, min(65536, -(-n // 8)))
     asked = index.where(is_query)
     shards, blocks = -(-n // shard_rows), max(1, -(-asked.count() // query_rows))
-    left = index.withColumn("s", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = asked.withColumn("b", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    left = index.drop("asked").withColumn("s", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = asked.drop("pivots").withColumn("b", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     found = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInPandas(_search(len(pivots), k, share, least), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
