@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters that cleaning deletes, white space in Java's regular expressions.
 PUNCTUATION = "!()-[]{};:'\"\\,<>./?@#$%^&*_~"
@@ -100,7 +101,7 @@ def word_error_rate(truth: Column, guess: Column) -> Column:
     return F.try_divide(word_distance(t, tokens(guess)), F.size(t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def match_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """2 * matches / total length over an optimal alignment of characters (no native form)."""
 

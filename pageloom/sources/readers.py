@@ -44,7 +44,7 @@ def read_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file, text of whole files; bytes that are no UTF-8 become replacement characters."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.decode("content", "UTF-8").alias("text"))
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
