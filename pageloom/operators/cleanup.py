@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -224,29 +226,50 @@ def merge_small_page(boxes: np.ndarray, least_height: float = 400, gap: float =
     return np.array(rows).reshape(-1, 4)
 
 
-def _per_page(boxes: DataFrame, fold, extra: list[str] | None = None) -> DataFrame:  # noqa: ANN001
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seg_id", kind="stable")
-        out = fold(pdf)
-        made = pd.DataFrame(out, columns=list(SIDES)).astype("int32")
-        made.insert(0, "seg_id", np.arange(len(made), dtype=np.int32))
-        made.insert(0, "page_id", pdf["page_id"].iloc[0])
-        return made
+def _per_page(boxes: DataFrame, fold: Callable[..., np.ndarray], extra: tuple[str, ...] = ()) -> DataFrame:
+    """``fold`` of each page's sides in order of seg_id (and of the first row's extra columns), numbered anew.
 
-    columns = ["page_id", "seg_id", *SIDES, *(extra or [])]
-    return boxes.select(*columns).groupBy("page_id").applyInPandas(run, BOXES)
+    Pages are streamed through sorted partitions, not handed over one by one:
+    a page costs its fold, no data frame.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def folded(t: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+            page = t.column("page_id").to_numpy()
+            sides = np.stack([t.column(s).to_numpy() for s in SIDES], axis=1)
+            more = [t.column(c).to_numpy() for c in extra]
+            made = [fold(sides[lo:hi], *[m[lo] for m in more]) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+            n = np.array([len(m) for m in made], np.int64)
+            out = np.concatenate([np.zeros((0, 4)), *made]).astype(np.int32)
+            number = np.arange(len(out)) - np.repeat(np.cumsum(n) - n, n)
+            return pa.record_batch([pa.array(np.repeat(page[cuts[:-1]], n)), pa.array(number.astype(np.int32)), *[pa.array(out[:, k].copy()) for k in range(4)]], names=["page_id", "seg_id", *SIDES])
+
+        for b in batches:
+            t = pa.Table.from_batches([*held, b])
+            page = t.column("page_id").to_numpy()
+            cuts = [0, *(np.flatnonzero(page[1:] != page[:-1]) + 1).tolist()]
+            if len(cuts) > 1:
+                yield folded(t, cuts)
+            held = t.slice(cuts[-1]).to_batches()
+        if held:
+            t = pa.Table.from_batches(held)
+            yield folded(t, [0, t.num_rows])
+
+    d = boxes.select(F.col("page_id").cast("long").alias("page_id"), "seg_id", *SIDES, *extra)
+    return d.repartition("page_id").sortWithinPartitions("page_id", "seg_id").mapInArrow(run, BOXES)
 
 
 def align_read_order(boxes: DataFrame, page_width: int, thresh: float | None = None, wide_part: float | None = None) -> DataFrame:
     """``align_page`` over every page; thresholds are given, or come from the page's own modal width."""
     if thresh is not None and wide_part is not None:
-        return _per_page(boxes, lambda p: align_page(p[list(SIDES)].to_numpy(), thresh, wide_part, page_width))
+        return _per_page(boxes, lambda b: align_page(b, thresh, wide_part, page_width))
     d = boxes.join(read_order_thresholds(boxes, page_width), "page_id")
-    return _per_page(d, lambda p: align_page(p[list(SIDES)].to_numpy(), float(p["thresh"].iloc[0]), float(p["wide_part"].iloc[0]), page_width), ["thresh", "wide_part"])
+    return _per_page(d, lambda b, t, w: align_page(b, float(t), float(w), page_width), ("thresh", "wide_part"))
 
 
 def merge_small_boxes(boxes: DataFrame, least_height: float = 400, gap: float = 100) -> DataFrame:
-    return _per_page(boxes, lambda p: merge_small_page(p[list(SIDES)].to_numpy(), least_height, gap))
+    return _per_page(boxes, lambda b: merge_small_page(b, least_height, gap))
 
 
 def post_process(boxes: DataFrame, page_width: int, page_height: int) -> DataFrame:
