@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import WIDTH, chunked, lean, letters, mix, prefix_hashes, split_words
+from pageloom.llm.words import WIDTH, chunked, give_back, lean, letters, mix, prefix_hashes, split_words
 from pageloom.session import materialize, table
 
 TRIM = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”„‘’…–—¡¿0123456789"
@@ -109,9 +109,12 @@ def train(texts: Sequence[str], langs: Sequence[str], rounds: int = 40, rate: fl
     first, length = chains(w.bounds)
     gold = np.repeat([labels.index(x) for x in langs], np.diff(w.bounds))
     k = len(labels)
-    f, real = features(w.distinct)
-    rows, cols = np.nonzero(real)
-    flat = f[rows, cols]
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    for at in range(0, len(w.distinct), 10_000):
+        f, real = features(w.distinct.slice(at, 10_000))
+        r, c = np.nonzero(real)
+        parts.append(((r + at).astype(np.int32), f[r, c]))
+    rows, flat = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int32), np.zeros(0, np.int32))
     model = Model(labels, np.zeros((BUCKETS, k), np.float32), np.zeros((k, k), np.float32))
     if k < 2 or not len(w.codes):
         return model
@@ -142,7 +145,10 @@ def fit(docs: DataFrame, usable: Column, per_language: int = 200, most_languages
         edge = min(1.0, per_language / n)
         draw = draw | ((F.col("lang") == lang) & (F.pmod(F.xxhash64(F.lit(5), "h"), F.lit(1_000_000)) < int(edge * 1_000_000)))
     sample = rows.where(draw).groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").limit(2 * per_language * most_languages).toPandas()
-    return train(sample["text"].tolist(), sample["lang"].tolist())
+    model = train(sample["text"].tolist(), sample["lang"].tolist())
+    del sample
+    give_back()
+    return model
 
 
 def label(docs: DataFrame, model: Model, keep: Sequence[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import Words, chunked, lean, letters, mix, prefix_hashes, sliced, split_words
+from pageloom.llm.words import Words, chunked, give_back, lean, letters, mix, prefix_hashes, sliced, split_words
 from pageloom.session import materialize, table
 
 TRIM = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„‘’…–—¡¿"
@@ -238,7 +238,7 @@ def char_model(docs: DataFrame) -> CharModel:
         yield pa.record_batch([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["g", "n"])
 
     summed = docs.select("text").where(F.col("text").isNotNull()).mapInArrow(lean(run), "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-    top = summed.orderBy(F.desc("n"), "g").limit(200_000).collect()  # of the alphabets' trigrams, the commonest
+    top = summed.orderBy(F.desc("n"), "g").limit(50_000).collect()  # of the alphabets' trigrams, the commonest
     return CharModel({"".join(chr((g >> s) & 0x1FFFFF) for s in (42, 21, 0)): n for g, n in top})
 
 
@@ -312,6 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = 6000, mo
         seen, seen_b = seen + g * g, seen_b + gb * gb
         weights += 0.3 * g / np.sqrt(seen)
         bias += 0.3 * gb / math.sqrt(seen_b)
+    give_back()
     return Model(chars, keys, weights, float(bias))
 
 

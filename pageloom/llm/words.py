@@ -19,6 +19,13 @@ CHUNK = 4_000_000
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1, 2**63, WIDTH, dtype=np.uint64) | np.uint64(1)
 
 
+def give_back() -> None:
+    """Free memory of this process goes back to the system."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def lean(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
     """A mapInArrow function after which the worker process gives its free memory back.
 
@@ -31,9 +38,7 @@ def lean(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            with contextlib.suppress(OSError, AttributeError):
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return wrapped
 
