@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pageloom.session import table
+from pageloom.session import materialize, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Most words that the exact dynamic programme is left to place.
@@ -116,8 +116,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), budget: float = 1.5
     source come first; the remaining budget is fitted by ``fit`` over the
     (length, count) table, never over documents. Which documents of a length
     are taken is decided by a seeded hash of id and text: hash cells split
-    each (source, length), whole cells are taken by their counts, and only
-    rows within a cell are ranked. So no task holds a hot source or length,
+    each (source, length), whole cells are taken by their counts (written
+    once, so texts are read twice in all), and only rows within a cell are
+    ranked. So no task holds a hot source or length,
     and reruns agree.
 
     Null text has size 0 and, as an empty one, costs nothing: it gets only the
@@ -132,7 +133,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), budget: float = 1.5
     d = d.withColumn("skey", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-")))
     d = d.withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")))
     d = d.withColumn("_cell", F.pmod(F.col("_h"), F.lit(CELLS)))
-    cells = d.groupBy("skey", "size", "_cell").agg(F.count("*").alias("n"), F.first("source").alias("source"))
+    cells = materialize(d.groupBy("skey", "size", "_cell").agg(F.count("*").alias("n"), F.first("source").alias("source")), "mixing-cells")
     hist = cells.groupBy("skey", "size").agg(F.sum("n").alias("n"), F.first("source").alias("source"))
     per_source = hist.groupBy("skey").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.first("source").alias("source"))
     plan = hist.select("skey", "size", "n").join(targets(per_source, weights, budget, cap), "skey")
