@@ -37,6 +37,16 @@ def list_files(spark: SparkSession, folder: str, suffix: str = "", keyword: str
     return d.withColumn("key", key).where(keep_key(F.col("key"), suffix, keyword, level))
 
 
+def list_folders(files: DataFrame) -> DataFrame:
+    """folder: the distinct folders that hold listed files (key)."""
+    return files.select(F.regexp_extract("key", "^(.*)/[^/]*$", 1).alias("folder")).where("folder <> ''").distinct()
+
+
+def paths_by_index(wanted: DataFrame, index: DataFrame) -> DataFrame:
+    """wanted (id) with path out of an index table (id, path)."""
+    return wanted.join(index, "id", "left")
+
+
 def read_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """page_id (file name up to its first dot), path, length, content."""
     return spark.read.format("binaryFile").load(path).select(file_stem(F.col("path")).alias("page_id"), "path", "length", "content")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Events of a task in the order of its life; an inner failure still ends.
+#: Events of a task in the order of its life; an inner failure still ends. Fixed values.
 EVENTS = ("starttime", "Insideendtime", "endtime", "Insideerrortime", "errortime")
 LOG = T.StructType().add("file_name", "string").add("event", "string").add("ts", "timestamp").add("error", "string")
 
