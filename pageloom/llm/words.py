@@ -86,12 +86,12 @@ def prefix_hashes(points: np.ndarray) -> np.ndarray:
     return np.cumsum(points.astype(np.uint64) * _MULTIPLIERS, axis=1, dtype=np.uint64)
 
 
-def chunked(batch: pa.RecordBatch, name: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of at most CHUNK characters or one row."""
+def chunked(batch: pa.RecordBatch, most: int = CHUNK, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most ``most`` bytes of text or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy()
     first, total = 0, 0
     for k, size in enumerate(sizes.tolist()):
-        if k > first and total + size > CHUNK:
+        if k > first and total + size > most:
             yield batch.slice(first, k - first)
             first, total = k, 0
         total += size
