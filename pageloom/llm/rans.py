@@ -202,9 +202,9 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_id
     """Encode docs(doc_id, text) into ``folder``; returns (file, start, n_ids, n_docs) per file.
 
     Rows are range-partitioned and sorted by doc_id (null first, equal ids by
-    text), tokenised once into a work table, and counted over all rows; the
-    table, at most one row per vocabulary entry, is what the driver sees, with
-    one sum per partition. Each task then cuts its sorted runs into files of
+    text) and tokenised once into a work table, with each partition's counts
+    of ids; their sum, at most one row per vocabulary entry, is what the
+    driver sees, with one sum per partition. Each task then cuts its sorted runs into files of
     about ``shard_ids`` ids and whole documents; a longer document is a file
     of several blocks. Names and contents depend only on the work table, so a
     rerun task replaces its files by equal ones. Null text is empty: one end
@@ -215,19 +215,18 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_id
     wide = vocabulary_size(path)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     d = d.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    made = materialize(tokenize(d, path, END_ID, F.lit(""), 2 if wide <= 1 << 16 else 4), "rans-ids")
+    both = materialize(tokenize(d, path, END_ID, F.lit(""), 2 if wide <= 1 << 16 else 4, wide), "rans-ids")
+    made = both.where("seq >= 0")
     kind = "<u2" if wide <= 1 << 16 else "<u4"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
+        seen = np.zeros(wide, np.int64)
         for b in batches:
-            c = np.bincount(np.frombuffer(bytes_of(b.column("ids")), kind), minlength=len(seen))
-            c[: len(seen)] += seen
-            seen = c
+            seen += np.frombuffer(bytes_of(b.column("ids")), "<u8").astype(np.int64).reshape(-1, wide).sum(axis=0)
         at = np.flatnonzero(seen)
         yield pa.record_batch([pa.array(at), pa.array(seen[at])], names=["id", "n"])
 
-    counts = made.select("ids").mapInArrow(lean(count), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts = both.where("seq = -1").select("ids").mapInArrow(lean(count), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     t = Table(counts["id"].to_numpy(np.uint32), counts["n"].to_numpy(np.int64))
     raw_table = t.to_bytes()
     _put(folder, "table.rans", raw_table)

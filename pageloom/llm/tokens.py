@@ -24,8 +24,10 @@ from pageloom.llm.words import chunked, lean
 _LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
 #: Texts are joined by NUL, which is a piece of its own.
 PIECE = re.compile(rf"[ \n]?{_LETTER}+(?=[.,;:!?*#%$&\0]|[ \n]{_LETTER})|\s*[^\s\0]+(?:(?=[^\S \n\r\t])\s+[^\s\0]*)*|\s+|\0")
-#: What the cache may hold.
-PIECES, IDS = 500_000, 3_000_000
+#: Words whose letters no normalizer turns into anything but letters.
+_WORD = re.compile(rf" ?{_LETTER}+")
+#: Bytes of text encoded at once (the more, the fewer words are new to a call), and what the cache may hold.
+CHUNK, PIECES, IDS = 8_000_000, 900_000, 4_500_000
 #: A blank after white space, or at the start: such a text is not cut at every blank.
 _ODD = r"^ |[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 
@@ -61,6 +63,8 @@ class PieceTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        # Where the file's own normalizer lowers case, doing so first makes fewer words distinct.
+        self.lower = '"type":"Lowercase"' in self.tokenizer.to_str()
         (self.mark,) = self.tokenizer.encode("!", add_special_tokens=False).ids
         self._start(["\0"], np.zeros(1, np.int64), np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
@@ -91,7 +95,7 @@ class PieceTokenizer:
         return stop, self.ids[where]
 
     def _learn(self, pieces: list[str]) -> None:
-        words = [p for p in pieces if p.isalpha() or p[0] == " " and p[1:].isalpha()]
+        words = [p for p in pieces if _WORD.fullmatch(p)]
         if len(words) > 1:
             # Words cannot hold the mark, and it is a token of its own between them.
             ids = np.array(self.tokenizer.encode_batch_fast(["!".join(words) + "!"], add_special_tokens=False)[0].ids, np.uint32)
@@ -141,6 +145,8 @@ class PieceTokenizer:
         if pc.any(pc.match_substring(texts, "\0")).as_py():
             found = [np.array([*e.ids, self.end_id], np.uint32) for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             return np.concatenate(found), np.array([len(f) for f in found], np.int64)
+        if self.lower and not pc.any(pc.match_substring(texts, "<|")).as_py():  # no upper-case look-alike of a special token
+            texts = pc.ascii_lower(texts)
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
         whole = texts.filter(pa.array(odd)).to_pylist()
         words = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
@@ -199,6 +205,8 @@ class PieceTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        # Where the file's own normalizer lowers case, doing so first makes fewer words distinct.
+        self.lower = '"type":"Lowercase"' in self.tokenizer.to_str()
         (self.mark,) = self.tokenizer.encode("!", add_special_tokens=False).ids
         self._start(["\0"], np.zeros(1, np.int64), np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
@@ -229,7 +237,7 @@ class PieceTokenizer:
         return stop, self.ids[where]
 
     def _learn(self, pieces: list[str]) -> None:
-        words = [p for p in pieces if p.isalpha() or p[0] == " " and p[1:].isalpha()]
+        words = [p for p in pieces if _WORD.fullmatch(p)]
         if len(words) > 1:
             # Words cannot hold the mark, and it is a token of its own between them.
             ids = np.array(self.tokenizer.encode_batch_fast(["!".join(words) + "!"], add_special_tokens=False)[0].ids, np.uint32)
@@ -279,6 +287,8 @@ class PieceTokenizer:
         if pc.any(pc.match_substring(texts, "\0")).as_py():
             found = [np.array([*e.ids, self.end_id], np.uint32) for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             return np.concatenate(found), np.array([len(f) for f in found], np.int64)
+        if self.lower and not pc.any(pc.match_substring(texts, "<|")).as_py():  # no upper-case look-alike of a special token
+            texts = pc.ascii_lower(texts)
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
         whole = texts.filter(pa.array(odd)).to_pylist()
         words = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
@@ -348,13 +358,14 @@ def ids_to_crc32(df: DataFrame, width: int) -> DataFrame:
     return df.mapInArrow(lean(run), schema)
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int = 4) -> DataFrame:
+def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int = 4, vocabulary: int = 0) -> DataFrame:
     """doc_id, grp, part, seq, at, n, ids of every row of docs(doc_id, text).
 
     ids: the text's ids and end_id, little-endian, ``width`` bytes each. part is the task's
     partition, seq the row's place in it, at the ids before it of the same
     grp (a string) within the partition. These numbers hold once the result is
-    written; a partition's rows keep their order.
+    written; a partition's rows keep their order. With ``vocabulary``, each
+    partition ends in a row with seq -1, whose ids are that many uint64 counts.
     """
     fields = pa.schema([("doc_id", pa.int64()), ("grp", pa.string()), ("part", pa.int32()), ("seq", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
@@ -363,9 +374,12 @@ def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int
 
         tokenizer, part, seq = PieceTokenizer.shared(path, end_id), TaskContext.get().partitionId(), 0
         before: dict[str, int] = {}
+        uses = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for b in chunked(batch):
+            for b in chunked(batch, CHUNK):
                 ids, counts = tokenizer.encode(pc.fill_null(b.column("text"), ""))
+                if vocabulary:
+                    uses += np.bincount(ids, minlength=vocabulary)
                 raw, ends = ids.astype(f"<u{width}").tobytes(), np.cumsum(counts)
                 groups = b.column("grp").to_pylist()
                 at = []
@@ -382,6 +396,9 @@ def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int
                     schema=fields,
                 )
                 seq += b.num_rows
+        if seq and vocabulary:
+            last = [None, "", part, -1, 0, 0, uses.astype("<u8").tobytes()]
+            yield pa.record_batch([pa.array([x], f.type) for x, f in zip(last, fields, strict=True)], schema=fields)
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), group.alias("grp"), "text")
     return source.mapInArrow(lean(run), "doc_id long, grp string, part int, seq long, at long, n long, ids binary")

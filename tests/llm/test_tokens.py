@@ -33,6 +33,7 @@ def test_pieces_equal_whole_texts(name, monkeypatch):
     rnd = random.Random(3)
     alphabet = "ab  \n\t.'s1\x1c\x85é漢 Abé!?\r #,;\0"
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
+    texts += ["<|ENDOFTEXT|> A B", "x <|endoftext|> y"]
     texts += ["".join(rnd.choice(alphabet[:-1]) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
     path = tokenizer_path(name)
     monkeypatch.setattr("pageloom.llm.tokens.PIECES", 300)  # the cache overflows again and again
