@@ -250,18 +250,19 @@ class Model:
     bias: float
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = 6000, most_keys: int = 20_000, least_gain: float = 20.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = 6000, most_keys: int = 20_000, least_gain: float = 25.0) -> Model:
     """Learn from labels (doc_id, toxic): at most ``most`` rows of either class, drawn by hash of the id.
 
     Word and word-beginning keys are kept whose likelihood ratio (G squared)
     for the class is at least ``least_gain``; over these a logistic model with
-    L2 penalty is fitted, the rarer class up to three times as heavy. Several labels of one document: the largest holds.
+    L2 penalty is fitted, the rarer class up to three times as heavy. Equal
+    texts of one label count once. Several labels of one document: the largest holds.
     """
     spark = docs.sparkSession
     chars = char_model(docs)
     named = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(usable)
     drawn = [named.where(F.col("toxic") == c).orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").limit(most) for c in (0, 1)]
-    sample = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id").select("toxic", "text")
+    sample = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id").select("toxic", "text").dropDuplicates(["toxic", "text"])
     shared = spark.sparkContext.broadcast(chars)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
