@@ -140,9 +140,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), budget: float = 1.5
     plan = plan.groupBy("skey").applyInPandas(_allocate, "skey string, size long, source_size long, target double, whole long, take long")
     before = Window.partitionBy("skey", "size").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("skey", "size", "_cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    plan = plan.join(cells, ["skey", "size"])
+    # These tables grow with the documents, however small their files are: never broadcast.
+    plan = plan.hint("merge").join(cells, ["skey", "size"])
     rank = F.row_number().over(Window.partitionBy("skey", "size", "_cell").orderBy("_h", "doc_id"))
-    d = d.withColumn("_rank", rank).join(plan, ["skey", "size", "_cell"])
+    d = d.withColumn("_rank", rank).join(plan.hint("merge"), ["skey", "size", "_cell"])
     copies = (F.col("whole") + (F.col("before") + F.col("_rank") <= F.col("take")).cast("long")).cast("int")
     return d.withColumn("copies", copies).drop("skey", "_h", "_cell", "_rank", "before", "whole", "take")
 
