@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,8 +42,22 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
 def work_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/pageloom-{uuid.uuid4().hex[:12]}/{tag}"
+    """A new folder for a work table; it goes when this process ends."""
+    folder = f"{shared_dir(spark)}/pageloom-{uuid.uuid4().hex[:12]}"
+    if not _made:
+        atexit.register(_drop_all)
+    _made.append((spark, folder))
+    return f"{folder}/{tag}"
+
+
+def _drop_all() -> None:
+    for spark, folder in _made:
+        with suppress(Exception):  # the session may be gone
+            drop_path(spark, folder)
 
 
 @contextmanager
@@ -71,6 +86,5 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a work table whose readers have all finished."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
