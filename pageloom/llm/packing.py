@@ -13,6 +13,8 @@ from pageloom.session import materialize, table
 END_ID = 1
 #: Bytes of an id in the work table and in ``ids``; enough for vocabularies up to 65536.
 WIDTH = 2
+#: Cached pieces of a worker: fewer than alone, as it may follow other stages in its process.
+PIECES = 600_000
 BLOCKS = 4096
 
 
@@ -40,7 +42,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = 2048, packet: i
     the sort, so a hot source is no hot task. An empty table gives no rows.
     """
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-"))
-    made = materialize(tokenize(docs, path or tokenizer_path("byte_bpe_50k.json"), END_ID, key, WIDTH), "packing-ids")
+    made = materialize(tokenize(docs, path or tokenizer_path("byte_bpe_50k.json"), END_ID, key, WIDTH, pieces=PIECES), "packing-ids")
     sums = made.groupBy("grp", "part").agg(F.sum("n").alias("n"))
     before = Window.partitionBy("grp").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     all_ = Window.partitionBy("grp")

@@ -51,18 +51,19 @@ class PieceTokenizer:
     _of_process: dict[tuple[str, int], PieceTokenizer] = {}
 
     @classmethod
-    def shared(cls, path: str, end_id: int) -> PieceTokenizer:
+    def shared(cls, path: str, end_id: int, pieces: int) -> PieceTokenizer:
         """The one of this worker process, so that a later task finds the cache warm."""
         if (path, end_id) not in cls._of_process:
-            cls._of_process[path, end_id] = cls(path, end_id)
+            cls._of_process[path, end_id] = cls(path, end_id, pieces)
         return cls._of_process[path, end_id]
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, pieces: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        self.most = pieces or PIECES
         # Where the file's own normalizer lowers case, doing so first makes fewer words distinct.
         self.lower = '"type":"Lowercase"' in self.tokenizer.to_str()
         (self.mark,) = self.tokenizer.encode("!", add_special_tokens=False).ids
@@ -81,7 +82,7 @@ class PieceTokenizer:
         """Keep the pieces used most, a third of the room at most."""
         uses = self.uses[: self.size].copy()
         uses[0] = np.iinfo(np.int64).max
-        keep = np.flatnonzero(uses >= max(2, np.partition(uses, -PIECES // 3)[-PIECES // 3] + 1))
+        keep = np.flatnonzero(uses >= max(2, np.partition(uses, -self.most // 3)[-self.most // 3] + 1))
         at, ids = self._gather(keep)
         names = list(self.index)
         self._start([names[k] for k in keep.tolist()], self.count[keep], ids, self.uses[keep] // 2)
@@ -123,7 +124,7 @@ class PieceTokenizer:
 
     def _entries(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, ids of all) of texts that NUL ends, cut into cached pieces."""
-        if self.size > PIECES or self.used > IDS:
+        if self.size > self.most or self.used > IDS:
             self._shrink()
         pieces = PIECE.findall(joined)
         if new := sorted(set(pieces).difference(self.index), key=len):
@@ -193,18 +194,19 @@ class PieceTokenizer:
     _of_process: dict[tuple[str, int], PieceTokenizer] = {}
 
     @classmethod
-    def shared(cls, path: str, end_id: int) -> PieceTokenizer:
+    def shared(cls, path: str, end_id: int, pieces: int) -> PieceTokenizer:
         """The one of this worker process, so that a later task finds the cache warm."""
         if (path, end_id) not in cls._of_process:
-            cls._of_process[path, end_id] = cls(path, end_id)
+            cls._of_process[path, end_id] = cls(path, end_id, pieces)
         return cls._of_process[path, end_id]
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, pieces: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        self.most = pieces or PIECES
         # Where the file's own normalizer lowers case, doing so first makes fewer words distinct.
         self.lower = '"type":"Lowercase"' in self.tokenizer.to_str()
         (self.mark,) = self.tokenizer.encode("!", add_special_tokens=False).ids
@@ -223,7 +225,7 @@ class PieceTokenizer:
         """Keep the pieces used most, a third of the room at most."""
         uses = self.uses[: self.size].copy()
         uses[0] = np.iinfo(np.int64).max
-        keep = np.flatnonzero(uses >= max(2, np.partition(uses, -PIECES // 3)[-PIECES // 3] + 1))
+        keep = np.flatnonzero(uses >= max(2, np.partition(uses, -self.most // 3)[-self.most // 3] + 1))
         at, ids = self._gather(keep)
         names = list(self.index)
         self._start([names[k] for k in keep.tolist()], self.count[keep], ids, self.uses[keep] // 2)
@@ -265,7 +267,7 @@ class PieceTokenizer:
 
     def _entries(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, ids of all) of texts that NUL ends, cut into cached pieces."""
-        if self.size > PIECES or self.used > IDS:
+        if self.size > self.most or self.used > IDS:
             self._shrink()
         pieces = PIECE.findall(joined)
         if new := sorted(set(pieces).difference(self.index), key=len):
@@ -358,7 +360,7 @@ def ids_to_crc32(df: DataFrame, width: int) -> DataFrame:
     return df.mapInArrow(lean(run), schema)
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int = 4, vocabulary: int = 0) -> DataFrame:
+def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int = 4, vocabulary: int = 0, pieces: int = PIECES) -> DataFrame:
     """doc_id, grp, part, seq, at, n, ids of every row of docs(doc_id, text).
 
     ids: the text's ids and end_id, little-endian, ``width`` bytes each. part is the task's
@@ -366,13 +368,14 @@ def tokenize(docs: DataFrame, path: str, end_id: int, group: Column, width: int
     grp (a string) within the partition. These numbers hold once the result is
     written; a partition's rows keep their order. With ``vocabulary``, each
     partition ends in a row with seq -1, whose ids are that many uint64 counts.
+    ``pieces`` bounds the cache of a worker process.
     """
     fields = pa.schema([("doc_id", pa.int64()), ("grp", pa.string()), ("part", pa.int32()), ("seq", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer, part, seq = PieceTokenizer.shared(path, end_id), TaskContext.get().partitionId(), 0
+        tokenizer, part, seq = PieceTokenizer.shared(path, end_id, pieces), TaskContext.get().partitionId(), 0
         before: dict[str, int] = {}
         uses = np.zeros(vocabulary, np.int64)
         for batch in batches:
