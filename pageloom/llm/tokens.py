@@ -79,10 +79,11 @@ class PieceTokenizer:
         self.ids[: len(ids)] = ids
 
     def _shrink(self) -> None:
-        """Keep the pieces used most, a third of the room at most."""
-        uses = self.uses[: self.size].copy()
+        """Keep the short pieces used most, a third of the room at most."""
+        uses = np.where(self.count[: self.size] > 64, 0, self.uses[: self.size])
+        rank = max(1, min(self.most // 3, self.size))
         uses[0] = np.iinfo(np.int64).max
-        keep = np.flatnonzero(uses >= max(2, np.partition(uses, -self.most // 3)[-self.most // 3] + 1))
+        keep = np.flatnonzero(uses >= max(2, np.partition(uses, -rank)[-rank] + (rank < self.size)))
         at, ids = self._gather(keep)
         names = list(self.index)
         self._start([names[k] for k in keep.tolist()], self.count[keep], ids, self.uses[keep] // 2)
@@ -222,10 +223,11 @@ class PieceTokenizer:
         self.ids[: len(ids)] = ids
 
     def _shrink(self) -> None:
-        """Keep the pieces used most, a third of the room at most."""
-        uses = self.uses[: self.size].copy()
+        """Keep the short pieces used most, a third of the room at most."""
+        uses = np.where(self.count[: self.size] > 64, 0, self.uses[: self.size])
+        rank = max(1, min(self.most // 3, self.size))
         uses[0] = np.iinfo(np.int64).max
-        keep = np.flatnonzero(uses >= max(2, np.partition(uses, -self.most // 3)[-self.most // 3] + 1))
+        keep = np.flatnonzero(uses >= max(2, np.partition(uses, -rank)[-rank] + (rank < self.size)))
         at, ids = self._gather(keep)
         names = list(self.index)
         self._start([names[k] for k in keep.tolist()], self.count[keep], ids, self.uses[keep] // 2)

@@ -46,6 +46,16 @@ def test_pieces_equal_whole_texts(name, monkeypatch):
             assert ids[z - m : z].tolist() == [*e.ids, 1], repr(text)
 
 
+def test_cache_bears_few_long_pieces(monkeypatch):
+    monkeypatch.setattr("pageloom.llm.tokens.IDS", 1000)
+    path = tokenizer_path(FILES[0])
+    p = PieceTokenizer(path, 1)
+    for k in range(5):
+        text = f"x{k}1" * 900 + " the cat"
+        ids, n = p.encode(pa.array([text, "the cat"]))
+        assert ids[: n[0]].tolist() == true_ids(path, text).tolist() and ids[n[0] :].tolist() == true_ids(path, "the cat").tolist()
+
+
 def test_packing_holds_every_id_once(spark):
     df = spark.createDataFrame(rows(), SCHEMA)
     out = packing.digest(packing.pack(df, window=256, packet=64)).toPandas()
