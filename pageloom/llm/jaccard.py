@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.words import WIDTH, chunked, lean, letters, mix, sliced, split_words
+from pageloom.llm.words import WIDTH, chunked, give_back, lean, letters, mix, sliced, split_words
 from pageloom.operators.graph import connected_components
 from pageloom.session import materialize, shared_dir, table
 
@@ -297,8 +297,10 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
 
     words = chosen.select(_slot(F.col("least")).alias("s")).groupBy((F.col("s") / 64).cast("long").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits"))
     bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for w, x in words.collect():
-        bits[w] = x
+    found = words.toPandas()  # at most one row per word of the filter
+    bits[found["w"].to_numpy()] = found["bits"].to_numpy()
+    del found
+    give_back()
     held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -136,7 +136,7 @@ def train(texts: Sequence[str], langs: Sequence[str], rounds: int = 40, rate: fl
     return model
 
 
-def fit(docs: DataFrame, usable: Column, per_language: int = 200, most_languages: int = 100) -> Model:
+def fit(docs: DataFrame, usable: Column, per_language: int = 120, most_languages: int = 100) -> Model:
     """Train on at most ``per_language`` whole documents of each of the ``most_languages`` commonest languages, drawn by hash of the text."""
     rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang", F.xxhash64("text").alias("h"))
     common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
