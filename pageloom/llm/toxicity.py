@@ -29,6 +29,10 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "§": "s",
 }
+#: Signs among them. At a word's edge such a sign may be a letter or punctuation.
+SIGNS = "".join(c for c in LEET if not c.isalnum())
+#: What is taken off the ends of words whose edges are still to be read.
+OUTER = "".join(c for c in TRIM if c not in SIGNS)
 #: Costs in nats: a substitution, a dropped mark, a dropped repetition, a blank put in or left out.
 SUBSTITUTE, DROP_MARK, DROP_REPEAT, BLANK = 1.0, 1.5, 1.2, 2.5
 #: Characters that spacing uses.
@@ -76,14 +80,16 @@ class CharModel:
 EDGE = "\0"
 
 
-def decode(word: str, model: CharModel, spaced: bool = False) -> str:
+def decode(word: str, model: CharModel, spaced: bool = False, inner: tuple[int, int] | None = None) -> str:
     """The likeliest words behind ``word`` (lower case), by Viterbi over its lattice.
 
     A state is the last two restored letters. Each character may be itself, a
     letter that it stands for, nothing if it is a mark, or nothing if it
     repeats the one before. With ``spaced``, ``word`` is a run of letters that
-    stood alone, and blanks may be put between any two.
+    stood alone, and blanks may be put between any two. Signs outside of
+    ``inner`` (start, stop) may also be punctuation, that is nothing.
     """
+    lo, hi = inner or (0, len(word))
     states: dict[str, tuple[float, str]] = {EDGE * 2: (0.0, "")}
     for k, c in enumerate(word):
         options: list[tuple[str, float]] = []
@@ -91,7 +97,7 @@ def decode(word: str, model: CharModel, spaced: bool = False) -> str:
             options.append((c, 0.0))
         for x in LEET.get(c, ""):
             options.append((x, SUBSTITUTE))
-        if c in MARKS or not c.isalnum() and c not in LEET:
+        if c in MARKS or not c.isalnum() and (c not in LEET or not lo <= k < hi):
             options.append(("", DROP_MARK))
         if k and word[k - 1] == c and c.isalnum():
             options.append(("", DROP_REPEAT))
@@ -118,69 +124,138 @@ def touched(word: str) -> bool:
     return len(word) <= LONGEST and bool(_TOUCHED.search(word))
 
 
+_EDGE = "^[" + re.escape(SIGNS) + "]|[" + re.escape(SIGNS) + "]$"
+_MARKED = r"\pL.*[0-9@$!|+(<€£§.\-_*~'\"^,/\\]|[0-9@$!|+(<€£§.\-_*~'\"^,/\\].*\pL|aaa|bbb|ccc|ddd|eee|fff|ggg|hhh|iii|jjj|kkk|lll|mmm|nnn|ooo|ppp|qqq|rrr|sss|ttt|uuu|vvv|www|xxx|yyy|zzz|ààà|äää|ççç|èèè|ééé|êêê|ííí|ñññ|óóó|ööö|üüü|ßßß"
+
+
+def maybe_touched(words: pa.StringArray) -> np.ndarray:
+    return pc.match_substring_regex(words, _MARKED).to_numpy(zero_copy_only=False)
+
+
+def edges(word: str) -> tuple[int, int]:
+    """(start, stop) of a word without the signs at its ends; of signs alone, (0, 0)."""
+    lo = len(word) - len(word.lstrip(SIGNS))
+    return (lo, len(word.rstrip(SIGNS))) if lo < len(word) else (0, 0)
+
+
 class Restorer:
     """Words of texts with what the channel did undone; decodings are remembered, up to a bound."""
 
     def __init__(self, model: CharModel, remembered: int = 200_000):
         self.model, self.known, self.most = model, {}, remembered
 
-    def word(self, word: str, spaced: bool = False) -> str:
-        key = (word, spaced)
+    def word(self, word: str, spaced: bool = False, inner: tuple[int, int] | None = None) -> str:
+        key = (word, spaced, inner)
         if key not in self.known:
             if len(self.known) >= self.most:
                 self.known.clear()
-            self.known[key] = decode(word, self.model, spaced)
+            self.known[key] = decode(word, self.model, spaced, inner)
         return self.known[key]
 
+    def readings(self, word: str, spaced: bool = False) -> set[str]:
+        """What a word may mean if signs at its ends are letters.
+
+        Of the signs at either end the inner 0, 1, 2, 3 are letters and the
+        others punctuation, or each of them is what is likelier; not read here
+        is the word without any.
+        """
+        lo, hi = edges(word)
+        before, after = lo, len(word) - hi
+        parts: set[tuple[str, tuple[int, int] | None]] = set()
+        for i in range(min(before, 3) + 1):
+            parts |= {(word[lo - i : hi + j], None) for j in range(min(after, 3) + 1)}
+            if after > 3:
+                parts.add((word[lo - i :], (0, hi - lo + i)))
+        if before > 3:
+            parts |= {(word[: hi + j], (lo, hi + j)) for j in range(min(after, 3) + 1)}
+        if before > 3 and after > 3:
+            parts.add((word, (lo, hi)))
+        return {self.word(w, spaced, inner) for w, inner in parts if w and w != word[lo:hi]} - {""}
+
     def text(self, text: str) -> str:
         """A text with every touched word and every run of lone letters restored."""
         out: list[str] = []
-        lone: list[str] = []
+        lone: list[tuple[str, str]] = []
         for w in [*text.lower().split(), ""]:
-            plain = w.strip(TRIM)
-            if len(plain) == 1 and (plain.isalnum() or plain in LEET):
-                lone.append(plain)
+            wide, plain = w.strip(OUTER), w.strip(TRIM)
+            if len(wide) == 1 or len(plain) == 1 and plain.isalnum():
+                lone.append((wide if len(wide) == 1 else plain, w))
                 continue
             if lone:
-                out.extend([self.word("".join(lone), True)] if len(lone) > 2 else lone)
+                run = "".join(c for c, _ in lone)
+                signs = any(c in SIGNS for c in run)
+                if len(lone) < 3 or signs and not any(c.isalpha() for c in run):
+                    out.extend(x if c in SIGNS else c for c, x in lone)
+                else:
+                    out.append(self.word(run, True, edges(run) if signs else None))
                 lone = []
-            out.append(self.word(plain) if touched(plain) else w)
+            if wide != plain and any(c.isalpha() for c in wide):
+                new = self.word(wide, False, edges(wide))
+                out.append(new if new != plain else w)
+            else:
+                out.append(self.word(plain) if touched(plain) else w)
         return " ".join(out[:-1])
 
-    def extra(self, w: Words) -> tuple[np.ndarray, list[str]]:
-        """(text, word) pairs that restoring adds to the texts' own words."""
+    def extra(self, w: Words, wide: Words | None = None) -> tuple[np.ndarray, list[str]]:
+        """(text, word) pairs that restoring adds to the texts' own words ``w``; ``wide`` are they with the signs at their ends."""
         rows: list[int] = []
         found: list[str] = []
-        maybe = pc.match_substring_regex(w.distinct, r"\pL.*[0-9@$!|+(<€£§.\-_*~'\"^,/\\]|[0-9@$!|+(<€£§.\-_*~'\"^,/\\].*\pL|aaa|bbb|ccc|ddd|eee|fff|ggg|hhh|iii|jjj|kkk|lll|mmm|nnn|ooo|ppp|qqq|rrr|sss|ttt|uuu|vvv|www|xxx|yyy|zzz|ààà|äää|ççç|èèè|ééé|êêê|ííí|ñññ|óóó|ööö|üüü|ßßß").to_numpy(zero_copy_only=False)
-        changed = np.full(len(w.distinct), -1, np.int64)
-        made: list[str] = []
-        for k in np.flatnonzero(maybe).tolist():
+        start, made = np.zeros(len(w.distinct) + 1, np.int64), []
+        for k in np.flatnonzero(maybe_touched(w.distinct)).tolist():
             word = w.distinct[k].as_py()
             if touched(word):
                 new = self.word(word)
                 if new != word:
-                    changed[k] = len(made)
+                    start[k + 1] = 1
                     made.append(new)
-        if made:
-            at = np.flatnonzero(changed[w.codes] >= 0)
-            rows += (np.searchsorted(w.bounds, at, side="right") - 1).tolist()
-            found += [made[k] for k in changed[w.codes[at]].tolist()]
-        single = (pc.utf8_length(w.distinct).to_numpy() == 1)[w.codes] if len(w.distinct) else np.zeros(0, bool)
-        if single.sum() > 2:
-            # A run never crosses a text: the first word of each text starts one.
-            starts = np.zeros(len(single) + 1, bool)
-            starts[w.bounds[:-1]] = True
-            begin = np.flatnonzero(single & (starts[:-1] | ~np.append(False, single[:-1])))
-            end = np.flatnonzero(single & (starts[1:] | ~np.append(single[1:], False))) + 1
-            for lo, hi in zip(begin.tolist(), end.tolist(), strict=True):
-                if hi - lo > 2:
-                    run = "".join(w.distinct.take(pa.array(w.codes[lo:hi])).to_pylist())
-                    row = int(np.searchsorted(w.bounds, lo, side="right") - 1)
-                    for word in self.word(run, True).split(" "):
-                        rows.append(row)
-                        found.append(word)
+        _per_text(w, start, made, rows, found)
+        self._runs(w, False, rows, found)
+        if wide is not None:
+            start, made = np.zeros(len(wide.distinct) + 1, np.int64), []
+            edge = pc.match_substring_regex(wide.distinct, _EDGE).to_numpy(zero_copy_only=False)
+            for k in np.flatnonzero(edge).tolist():
+                new = sorted(self.readings(wide.distinct[k].as_py()))
+                start[k + 1] = len(new)
+                made += new
+            _per_text(wide, start, made, rows, found)
+            self._runs(wide, True, rows, found)
         return np.array(rows, np.int64), found
 
+    def _runs(self, w: Words, signs: bool, rows: list[int], found: list[str]) -> None:
+        """Runs of lone characters; with ``signs`` only those with a sign in them, in all their readings."""
+        single = (pc.utf8_length(w.distinct).to_numpy() == 1)[w.codes] if len(w.distinct) else np.zeros(0, bool)
+        if single.sum() <= 2:
+            return
+        # A run never crosses a text: the first word of each text starts one.
+        starts = np.zeros(len(single) + 1, bool)
+        starts[w.bounds[:-1]] = True
+        begin = np.flatnonzero(single & (starts[:-1] | ~np.append(False, single[:-1])))
+        end = np.flatnonzero(single & (starts[1:] | ~np.append(single[1:], False))) + 1
+        for lo, hi in zip(begin.tolist(), end.tolist(), strict=True):
+            if hi - lo > 2:
+                run = "".join(w.distinct.take(pa.array(w.codes[lo:hi])).to_pylist())
+                row = int(np.searchsorted(w.bounds, lo, side="right") - 1)
+                if signs and not any(c in SIGNS for c in run):
+                    continue
+                # Without the signs at its ends a run may still have some within.
+                read = {self.word(run.strip(SIGNS), True), *self.readings(run, True)} if signs else {self.word(run, True)}
+                for word in sorted({x for r in read for x in r.split(" ")}):
+                    rows.append(row)
+                    found.append(word)
+
+
+def _per_text(w: Words, start: np.ndarray, made: list[str], rows: list[int], found: list[str]) -> None:
+    """Adds, for each word of each text, what was made of it: start[k + 1] words of ``made`` for distinct word k."""
+    if not made:
+        return
+    count = start[1:]
+    first = np.cumsum(count) - count
+    use = np.flatnonzero(count[w.codes])
+    n = count[w.codes[use]]
+    at = np.repeat(first[w.codes[use]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    rows += np.repeat(np.searchsorted(w.bounds, use, side="right") - 1, n).tolist()
+    found += [made[k] for k in at.tolist()]
+
 
 def hashes(words: pa.StringArray) -> np.ndarray:
     """[n, 6] keys: the word, and its beginnings of 3 to 7 letters (0: too short)."""
@@ -202,7 +277,7 @@ def text_keys(b: pa.RecordBatch, restorer: Restorer) -> tuple[np.ndarray, np.nda
     w = split_words(b.column("text"), TRIM)
     keys = hashes(w.distinct)[w.codes]
     rows = np.repeat(np.arange(b.num_rows), np.diff(w.bounds))
-    more_rows, more = restorer.extra(w)
+    more_rows, more = restorer.extra(w, split_words(b.column("text"), OUTER))
     if len(more):
         keys = np.concatenate([keys, hashes(pa.array(more, pa.string()))])
         rows = np.concatenate([rows, more_rows])
@@ -338,7 +413,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str], restored: bool = F
             for b in chunked(batch):
                 w = split_words(b.column("text"), TRIM)
                 rows, at = [], []
-                for words, where in ((w.distinct, None), restorer.extra(w)[::-1]):
+                for words, where in ((w.distinct, None), restorer.extra(w, split_words(b.column("text"), OUTER))[::-1]):
                     if not len(words):
                         continue
                     keys = hashes(words if where is None else pa.array(words, pa.string()))

@@ -115,6 +115,21 @@ def test_runs_of_lone_letters_stay_in_their_text():
     assert list(zip(rows.tolist(), words, strict=True)) == [(0, "abc"), (1, "xyz")]
 
 
+def test_signs_at_the_ends_of_words_are_letters_or_punctuation():
+    r = toxicity.Restorer(chars({"stupid": 50, "asshole": 50, "shit": 50, "ass": 50, "idiot": 50, "hello": 100, "the": 500}))
+    assert r.text("$tupid @sshole s h ! t") == "stupid asshole shit"
+    assert r.text("hello! the (hello) !d!ot!") == "hello! the (hello) idiot"
+
+    def found(text):
+        rows, words = r.extra(split_words(pa.array(["hello", text]), toxicity.TRIM), split_words(pa.array(["hello", text]), toxicity.OUTER))
+        assert set(rows.tolist()) <= {1}
+        return set(words)
+
+    for text, word in (("$tupid", "stupid"), ("($tupid)!!!!", "stupid"), ("@sshole!", "asshole"), ("@$$", "ass"), ("a$$, the", "ass"), ("s h ! t", "shit"), ("!d!0t!!", "idiot"), ("i d i o t !", "idiot"), ("$ h i t !", "shit")):
+        assert word in found(text), (text, found(text))
+    assert not found("hello the")
+
+
 def test_lean_passes_batches_on():
     b = pa.record_batch([pa.array([1, 2])], names=["a"])
     assert list(lean(lambda it: it)(iter([b]))) == [b]
