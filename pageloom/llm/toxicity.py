@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import Words, chunked, give_back, lean, letters, mix, prefix_hashes, sliced, split_words
+from pageloom.llm.words import Words, chunked, give_back, lean, letters, mix, points, prefix_hashes, sliced, split_words
 from pageloom.session import materialize, table
 
 TRIM = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„‘’…–—¡¿"
@@ -37,9 +37,9 @@ OUTER = "".join(c for c in TRIM if c not in SIGNS)
 SUBSTITUTE, DROP_MARK, DROP_REPEAT, BLANK = 1.0, 1.5, 1.2, 2.5
 #: Characters that spacing uses.
 MARKS = frozenset(".-_*~'\"^,/\\")
-#: Words that the channel can have touched: marks or digits among letters, or a letter three times.
-_TOUCHED = re.compile(r"(?=.*[^\W\d_])(?=.*[\d@$!|+(<€£§.\-_*~'\"^,/\\])|([^\W\d_])\1\1")
-#: Longest word that is decoded; longer ones are data (keys, addresses), and are scored as they are.
+#: Words that the channel can have touched: marks or digits among letters, or a letter three times. Each search is linear.
+_LETTER, _MARK, _TRIPLE = re.compile(r"[^\W\d_]"), re.compile(r"[\d@$!|+(<€£§.\-_*~'\"^,/\\]"), re.compile(r"([^\W\d_])\1\1")
+#: Longest word whose decoding is remembered.
 LONGEST = 40
 SIZE = 1 << 22
 
@@ -90,7 +90,8 @@ def decode(word: str, model: CharModel, spaced: bool = False, inner: tuple[int,
     ``inner`` (start, stop) may also be punctuation, that is nothing.
     """
     lo, hi = inner or (0, len(word))
-    states: dict[str, tuple[float, str]] = {EDGE * 2: (0.0, "")}
+    # Of each state the cost, and the parts made so far as a chain of pairs.
+    states: dict[str, tuple[float, tuple | None]] = {EDGE * 2: (0.0, None)}
     for k, c in enumerate(word):
         options: list[tuple[str, float]] = []
         if c.isalpha():
@@ -103,33 +104,43 @@ def decode(word: str, model: CharModel, spaced: bool = False, inner: tuple[int,
             options.append(("", DROP_REPEAT))
         if not options:
             options.append(("", DROP_MARK + SUBSTITUTE))
-        new: dict[str, tuple[float, str]] = {}
-        for context, (cost, text) in states.items():
+        new: dict[str, tuple[float, tuple | None]] = {}
+        for context, (cost, made) in states.items():
             for x, extra in options:
-                ways = [(context, cost + extra, text)]
+                ways = [(context, cost + extra, x)]
                 if spaced and x and context[1] != EDGE:
-                    ways.append((EDGE * 2, cost + extra + BLANK + model.cost(context, EDGE), text + " "))
-                for before, so_far, made in ways:
-                    if x:
-                        state, value = before[1] + x, (so_far + model.cost(before, x), made + x)
-                    else:
-                        state, value = before, (so_far, made)
-                    if state not in new or value < new[state]:
-                        new[state] = value
+                    ways.append((EDGE * 2, cost + extra + BLANK + model.cost(context, EDGE), " " + x))
+                for before, so_far, part in ways:
+                    state = before[1] + x if x else before
+                    total = so_far + model.cost(before, x) if x else so_far
+                    if state not in new or total < new[state][0]:
+                        new[state] = (total, (made, part) if part else made)
         states = new
-    return min((cost + model.cost(context, EDGE), text) for context, (cost, text) in states.items())[1]
+    _, made = min(((cost + model.cost(context, EDGE), made) for context, (cost, made) in states.items()), key=lambda s: s[0])
+    parts = []
+    while made:
+        made, part = made
+        parts.append(part)
+    return "".join(reversed(parts))
 
 
 def touched(word: str) -> bool:
-    return len(word) <= LONGEST and bool(_TOUCHED.search(word))
+    return bool(_MARK.search(word) and _LETTER.search(word) or _TRIPLE.search(word))
 
 
 _EDGE = "^[" + re.escape(SIGNS) + "]|[" + re.escape(SIGNS) + "]$"
-_MARKED = r"\pL.*[0-9@$!|+(<€£§.\-_*~'\"^,/\\]|[0-9@$!|+(<€£§.\-_*~'\"^,/\\].*\pL|aaa|bbb|ccc|ddd|eee|fff|ggg|hhh|iii|jjj|kkk|lll|mmm|nnn|ooo|ppp|qqq|rrr|sss|ttt|uuu|vvv|www|xxx|yyy|zzz|ààà|äää|ççç|èèè|ééé|êêê|ííí|ñññ|óóó|ööö|üüü|ßßß"
 
 
 def maybe_touched(words: pa.StringArray) -> np.ndarray:
-    return pc.match_substring_regex(words, _MARKED).to_numpy(zero_copy_only=False)
+    """Of which words touched() may hold: marks and letters, or any character three times."""
+    has = lambda pattern: pc.match_substring_regex(words, pattern).to_numpy(zero_copy_only=False)
+    found = has(r"[\p{Nd}@$!|+(<€£§.\-_*~'\"^,/\\]") & has(r"[\pL\p{Nl}\p{No}]")
+    flat, n = points(words)
+    at = np.flatnonzero((flat[2:] == flat[1:-1]) & (flat[1:-1] == flat[:-2]))
+    stop = np.cumsum(n)
+    word = np.searchsorted(stop, at, side="right")
+    found[word[at + 2 < stop[word]]] = True
+    return found
 
 
 def edges(word: str) -> tuple[int, int]:
@@ -145,6 +156,8 @@ class Restorer:
         self.model, self.known, self.most = model, {}, remembered
 
     def word(self, word: str, spaced: bool = False, inner: tuple[int, int] | None = None) -> str:
+        if len(word) > LONGEST:
+            return decode(word, self.model, spaced, inner)
         key = (word, spaced, inner)
         if key not in self.known:
             if len(self.known) >= self.most:
@@ -263,8 +276,8 @@ def hashes(words: pa.StringArray) -> np.ndarray:
 
 
 def _hashes(words: pa.StringArray) -> np.ndarray:
-    points, n = letters(words)
-    heads = prefix_hashes(points)
+    codes, n = letters(words)
+    heads = prefix_hashes(codes)
     keys = [mix(heads[:, -1] + n.astype(np.uint64) * np.uint64(7919) + np.uint64(1))]
     for k in (3, 4, 5, 6, 7):
         keys.append(np.where(n > k, mix(heads[:, k - 1] + np.uint64(100 + k)), np.uint64(0)))

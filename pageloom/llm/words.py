@@ -70,6 +70,12 @@ def letters(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(words.to_pylist(), dtype=f"U{WIDTH}").view(np.uint32).reshape(len(words), WIDTH), n
 
 
+def points(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of all words, one after the other, whole; lengths)."""
+    n = pc.utf8_length(words).to_numpy().astype(np.int64)
+    return np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), np.uint32), n
+
+
 def sliced(work: Callable[[pa.StringArray], np.ndarray], words: pa.StringArray, step: int = 50_000) -> np.ndarray:
     """``work`` of all words, ``step`` words at a time: its inner tables stay small."""
     return np.concatenate([work(words.slice(k, step)) for k in range(0, max(len(words), 1), step)])

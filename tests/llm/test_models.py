@@ -130,6 +130,18 @@ def test_signs_at_the_ends_of_words_are_letters_or_punctuation():
     assert not found("hello the")
 
 
+def test_words_of_any_length_and_script_are_decoded():
+    r = toxicity.Restorer(chars({"idiot": 50, "hello": 100, "the": 500, "дурак": 50, "åse": 50}))
+    for text, word in (("idi" + "o" * 60 + "t", "idiot"), (("-" * 12).join("idiot"), "idiot"), ("дуууурак", "дурак"), ("åååse", "åse"), ("idi" + "o" * 100_000 + "t", "idiot")):
+        rows, words = r.extra(split_words(pa.array(["the hello", text]), toxicity.TRIM))
+        assert list(zip(rows.tolist(), words, strict=True)) == [(1, word)], text[:80]
+        assert r.text(text) == word
+    some = ["ab", "bb", "b", "", "a1", "١a", "²1", "aab", "baa", "aaa", "xyyyz", "дуууу", "12", "111", "a" * 50 + "-"]
+    maybe = toxicity.maybe_touched(pa.array(some))
+    assert all(m for w, m in zip(some, maybe, strict=True) if toxicity.touched(w)) and not maybe[:4].any()
+    assert not toxicity.touched("ab" * 200_000)  # in linear time
+
+
 def test_lean_passes_batches_on():
     b = pa.record_batch([pa.array([1, 2])], names=["a"])
     assert list(lean(lambda it: it)(iter([b]))) == [b]
