@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,35 +44,46 @@ LONGEST = 40
 SIZE = 1 << 22
 
 
-@dataclass
+def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct codes, sorted; their sums)."""
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, np.int64)
+    return codes[first], np.add.reduceat(counts[order], first) if len(first) else np.zeros(0, np.int64)
+
+
+def _count(table_: tuple[np.ndarray, np.ndarray], code: int) -> int:
+    at = int(table_[0].searchsorted(code))
+    return int(table_[1][at]) if at < len(table_[0]) and table_[0][at] == code else 0
+
+
 class CharModel:
-    """Interpolated character trigrams; 0 is the edge of a word."""
-
-    counts: dict[str, int]
-    _logs: dict[str, float] = field(default_factory=dict)
-
-    def __post_init__(self) -> None:
-        self.two: dict[str, int] = {}
-        self.one: dict[str, int] = {}
-        self.zero: dict[str, int] = {}
-        for gram, n in self.counts.items():
-            self.two[gram[:2]] = self.two.get(gram[:2], 0) + n
-            self.one[gram[1]] = self.one.get(gram[1], 0) + n
-            self.zero[gram[1:]] = self.zero.get(gram[1:], 0) + n
-        self.total: dict[str, int] = {}
-        for gram, n in self.counts.items():
-            self.total[gram[2]] = self.total.get(gram[2], 0) + n
-        self.all = sum(self.total.values()) or 1
+    """Interpolated character trigrams; 0 is the edge of a word.
+
+    ``counts`` is a trigram's count, or (codes, counts): codes of 21 bits a
+    character. All of them are held, sorted, at 16 bytes each.
+    """
+
+    def __init__(self, counts: dict[str, int] | tuple[np.ndarray, np.ndarray], remembered: int = 500_000):
+        if isinstance(counts, dict):
+            codes = np.array([ord(g[0]) << 42 | ord(g[1]) << 21 | ord(g[2]) for g in counts], np.int64)
+            counts = codes, np.array(list(counts.values()), np.int64)
+        codes, n = self.three = _summed(*counts)
+        self.two, self.one = _summed(codes >> 21, n), _summed(codes >> 21 & 0x1FFFFF, n)
+        self.zero, self.last = _summed(codes & (1 << 42) - 1, n), _summed(codes & 0x1FFFFF, n)
+        self.all = int(n.sum()) or 1
+        self.most, self._logs = remembered, {}
 
     def cost(self, context: str, c: str) -> float:
         """-log P(c | the two characters before)."""
         gram = context + c
         if gram not in self._logs:
-            p = (self.total.get(c, 0) + 0.5) / (self.all + 0.5 * (len(self.total) + 1))
-            n1 = self.one.get(context[1], 0)
-            p = (self.zero.get(gram[1:], 0) + 20 * p) / (n1 + 20)
-            n2 = self.two.get(context, 0)
-            p = (self.counts.get(gram, 0) + 20 * p) / (n2 + 20)
+            if len(self._logs) >= self.most:
+                self._logs.clear()
+            x, y, z = ord(context[0]), ord(context[1]), ord(c)
+            p = (_count(self.last, z) + 0.5) / (self.all + 0.5 * (len(self.last[0]) + 1))
+            p = (_count(self.zero, y << 21 | z) + 20 * p) / (_count(self.one, y) + 20)
+            p = (_count(self.three, x << 42 | y << 21 | z) + 20 * p) / (_count(self.two, x << 21 | y) + 20)
             self._logs[gram] = -math.log(p)
         return self._logs[gram]
 
@@ -326,8 +337,8 @@ def char_model(docs: DataFrame) -> CharModel:
         yield pa.record_batch([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["g", "n"])
 
     summed = docs.select("text").where(F.col("text").isNotNull()).mapInArrow(lean(run), "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-    top = summed.orderBy(F.desc("n"), "g").limit(50_000).collect()  # of the alphabets' trigrams, the commonest
-    return CharModel({"".join(chr((g >> s) & 0x1FFFFF) for s in (42, 21, 0)): n for g, n in top})
+    made = summed.toArrow()
+    return CharModel((made.column("g").to_numpy(), made.column("n").to_numpy()))
 
 
 @dataclass

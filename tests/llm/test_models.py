@@ -142,6 +142,17 @@ def test_words_of_any_length_and_script_are_decoded():
     assert not toxicity.touched("ab" * 200_000)  # in linear time
 
 
+def test_every_trigram_is_in_the_model(spark):
+    text = " ".join(chr(0x4E00 + k) + chr(0x4E00 + 7 * k % 20_000) for k in range(18_000))
+    model = toxicity.char_model(spark.createDataFrame([(text,), ("abc abc",), (None,)], "text string"))
+    want = {}
+    for w in [*text.split(), "abc", "abc"]:
+        for i in range(len(w) + 1):
+            g = ("\0\0" + w + "\0")[i : i + 3]
+            want[g] = want.get(g, 0) + 1
+    assert len(want) > 50_000 and dict(zip(model.three[0].tolist(), model.three[1].tolist(), strict=True)) == {ord(g[0]) << 42 | ord(g[1]) << 21 | ord(g[2]): n for g, n in want.items()}
+
+
 def test_lean_passes_batches_on():
     b = pa.record_batch([pa.array([1, 2])], names=["a"])
     assert list(lean(lambda it: it)(iter([b]))) == [b]
