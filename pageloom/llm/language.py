@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import WIDTH, chunked, give_back, lean, letters, mix, prefix_hashes, split_words
+from pageloom.llm.words import WIDTH, chunked, cut_long, give_back, lean, letters, mix, prefix_hashes, split_words
 from pageloom.session import materialize, table
 
 TRIM = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”„‘’…–—¡¿0123456789"
@@ -105,7 +105,7 @@ def marginals(scores: np.ndarray, first: np.ndarray, length: np.ndarray, moves:
 def train(texts: Sequence[str], langs: Sequence[str], rounds: int = 40, rate: float = 0.3, decay: float = 1e-4) -> Model:
     """Maximum conditional likelihood by AdaGrad over the whole sample; a text's words carry its label."""
     labels = sorted(set(langs))
-    w = split_words(pa.array(texts, pa.string()), TRIM)
+    w = cut_long(split_words(pa.array(texts, pa.string()), TRIM))
     first, length = chains(w.bounds)
     gold = np.repeat([labels.index(x) for x in langs], np.diff(w.bounds))
     k = len(labels)
@@ -157,7 +157,9 @@ def label(docs: DataFrame, model: Model, keep: Sequence[str]) -> DataFrame:
     The label of a text is the one with the largest sum of posterior marginals
     over its words, score that label's share. A text that is null or has no
     letter is 'und' with score 0; so is every text when nothing was learned.
-    Whole texts are read; nothing is shuffled.
+    Whole texts are read; a word of more than WIDTH characters (a text without
+    blanks) is several words of the chain, which share three characters so
+    that no n-gram is lost. Nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in keep if c.lower() not in ("lang_pred", "score", "shares")]
@@ -169,7 +171,7 @@ def label(docs: DataFrame, model: Model, keep: Sequence[str]) -> DataFrame:
         k = len(m.labels)
         for batch in batches:
             for b in chunked(batch):
-                w = split_words(b.column("text"), TRIM)
+                w = cut_long(split_words(b.column("text"), TRIM))
                 has = pc.match_substring_regex(w.distinct, r"\pL").to_numpy(zero_copy_only=False)[w.codes]
                 kept = np.concatenate([[0], np.cumsum(has)])
                 bounds, codes = kept[w.bounds], w.codes[has]

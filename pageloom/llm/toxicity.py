@@ -326,12 +326,13 @@ def char_model(docs: DataFrame) -> CharModel:
                 clean = np.flatnonzero(pc.match_substring_regex(w.distinct, r"^\pL+$").to_numpy(zero_copy_only=False))
                 uses = np.bincount(w.codes, minlength=len(w.distinct))[clean]
                 for lo in range(0, len(clean), 50_000):
-                    points, _ = letters(w.distinct.take(pa.array(clean[lo : lo + 50_000])))
-                    points = np.pad(points, ((0, 0), (2, 1))).astype(np.int64)
-                    grams = (points[:, :-2] << 42) | (points[:, 1:-1] << 21) | points[:, 2:]
-                    real = (points[:, 1:-1] != 0) | (points[:, 2:] != 0)
+                    some = uses[lo : lo + 50_000]
+                    flat, size = points(pc.binary_join_element_wise(w.distinct.take(pa.array(clean[lo : lo + 50_000])).cast(pa.string()), "\0\0", ""))
+                    flat = np.concatenate([[0, 0], flat.astype(np.int64)])  # two edges before, between and after words
+                    grams = (flat[:-2] << 42) | (flat[1:-1] << 21) | flat[2:]
+                    real = (flat[1:-1] != 0) | (flat[2:] != 0)
                     k, at = np.unique(grams[real], return_inverse=True)
-                    n = np.bincount(at, weights=np.broadcast_to(uses[lo : lo + 50_000, None], real.shape)[real], minlength=len(k)).astype(np.int64)
+                    n = np.bincount(at, weights=np.repeat(some, size - 1), minlength=len(k)).astype(np.int64)
                     for g, c in zip(k.tolist(), n.tolist(), strict=True):
                         total[g] = total.get(g, 0) + c
         yield pa.record_batch([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["g", "n"])

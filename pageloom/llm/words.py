@@ -62,6 +62,33 @@ def split_words(texts: pa.Array, trim: str) -> Words:
     return Words(bounds - bounds[0], codes, plain.dictionary)
 
 
+def cut_long(w: Words, width: int = WIDTH, shared: int = 3) -> Words:
+    """Words of more than ``width`` characters as pieces of at most so many, each with the last ``shared`` of the one before."""
+    n = pc.utf8_length(w.distinct).to_numpy().astype(np.int64)
+    long = np.flatnonzero(n > width)
+    if not len(long):
+        return w
+    made: list[str] = []
+    parts = np.ones(len(n), np.int64)
+    for k in long.tolist():
+        word = w.distinct[k].as_py()
+        pieces = [word[at : at + width] for at in range(0, len(word) - shared, width - shared)]
+        parts[k] = len(pieces)
+        made += pieces
+    first = np.cumsum(parts) - parts
+    whole = np.flatnonzero(parts == 1)
+    at = np.zeros(int(parts.sum()), np.int64)
+    split = np.repeat(parts > 1, parts)
+    at[split] = len(whole) + np.arange(len(made))
+    at[~split] = np.arange(len(whole))
+    every = pa.concat_arrays([w.distinct.take(pa.array(whole)).cast(pa.string()), pa.array(made, pa.string())]).dictionary_encode()
+    at = every.indices.to_numpy().astype(np.int64)[at]
+    uses = parts[w.codes]
+    stop = np.cumsum(uses)
+    codes = at[np.repeat(first[w.codes] - (stop - uses), uses) + np.arange(int(uses.sum()))]
+    return Words(np.concatenate([[0], stop])[w.bounds], codes, every.dictionary)
+
+
 def letters(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     """(code points [n, WIDTH], padded with 0; lengths)."""
     n = pc.utf8_length(words).to_numpy().astype(np.int64)

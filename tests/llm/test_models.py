@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pageloom.llm import language, toxicity
-from pageloom.llm.words import lean, split_words
+from pageloom.llm.words import cut_long, lean, split_words
 from pageloom.session import table
 
 SF = "/root/testdata/sf0.01"
@@ -153,6 +153,26 @@ def test_every_trigram_is_in_the_model(spark):
     assert len(want) > 50_000 and dict(zip(model.three[0].tolist(), model.three[1].tolist(), strict=True)) == {ord(g[0]) << 42 | ord(g[1]) << 21 | ord(g[2]): n for g, n in want.items()}
 
 
+def test_long_words_are_read_to_their_end(spark):
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.choice((3, 40, 32, 33, 200))))
+    texts = [" ".join(word("abcdefg") for _ in range(30)), "", " ".join(word("xyz") for _ in range(20)), "x" * 61]
+    w = split_words(pa.array(texts), language.TRIM)
+    cut = cut_long(w)
+    names = cut.distinct.to_pylist()
+    assert max(map(len, names)) <= 32
+    for k, text in enumerate(texts):
+        got, want = [names[c] for c in cut.codes[cut.bounds[k] : cut.bounds[k + 1]]], text.split()
+        grams = lambda words, n: {x[i : i + n] for x in words for i in range(len(x) - n + 1)}
+        assert all(grams(got, n) == grams(want, n) for n in (1, 2, 3, 4)) and {x[-4:] for x in want} <= {x[-4:] for x in got}
+        assert len(got) == sum(max(1, -(-(len(x) - 3) // 29)) for x in want or [""])
+    model = language.train(["aba bab " * 20, "cdc dcd " * 20], ["a", "c"])
+    docs = spark.createDataFrame([(1, "ab" * 16 + "cd" * 300), (2, "ab" * 300)], "doc_id long, text string")
+    assert [r["lang_pred"] for r in language.label(docs, model, ["doc_id"]).orderBy("doc_id").collect()] == ["c", "a"]
+    grams = toxicity.char_model(spark.createDataFrame([("a" * 32 + "bcd",)], "text string")).three[0].tolist()
+    assert ord("c") << 42 | ord("d") << 21 in grams and ord("a") << 42 | ord("a") << 21 not in grams
+
+
 def test_lean_passes_batches_on():
     b = pa.record_batch([pa.array([1, 2])], names=["a"])
     assert list(lean(lambda it: it)(iter([b]))) == [b]
