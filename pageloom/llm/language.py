@@ -136,15 +136,30 @@ def train(texts: Sequence[str], langs: Sequence[str], rounds: int = 40, rate: fl
     return model
 
 
-def fit(docs: DataFrame, usable: Column, per_language: int = 120, most_languages: int = 100) -> Model:
-    """Train on at most ``per_language`` whole documents of each of the ``most_languages`` commonest languages, drawn by hash of the text."""
-    rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang", F.xxhash64("text").alias("h"))
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
-    draw = F.lit(False)
-    for lang, n in common:
-        edge = min(1.0, per_language / n)
-        draw = draw | ((F.col("lang") == lang) & (F.pmod(F.xxhash64(F.lit(5), "h"), F.lit(1_000_000)) < int(edge * 1_000_000)))
-    sample = rows.where(draw).groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").limit(2 * per_language * most_languages).toPandas()
+def _smallest(per_language: int):  # noqa: ANN202
+    """A mapInArrow function: the ``per_language`` smallest distinct h of each language among a task's rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, np.ndarray] = {}
+        for b in batches:
+            langs = b.column("lang").dictionary_encode()
+            codes, h = langs.indices.to_numpy(), b.column("h").to_numpy()
+            for k, lang in enumerate(langs.dictionary.to_pylist()):
+                kept[lang] = np.unique(np.append(kept.get(lang, h[:0]), h[codes == k]))[:per_language]
+        yield pa.record_batch([pa.array([x for x, v in kept.items() for _ in v], pa.string()), pa.array(np.concatenate([np.zeros(0, np.int64), *kept.values()]))], names=["lang", "h"])
+
+    return run
+
+
+def fit(docs: DataFrame, usable: Column, per_language: int = 120) -> Model:
+    """Train on ``per_language`` distinct whole texts of each language (all where it has fewer): those with the smallest hashes."""
+    rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang", F.xxhash64(F.lit(5), F.xxhash64("text")).alias("h"))
+    least = _smallest(per_language)
+    # Once in each task that reads, then over what they give, dealt by hash.
+    found = rows.select("lang", "h").mapInArrow(lean(least), "lang string, h long").distinct().mapInArrow(lean(least), "lang string, h long").toArrow()
+    drawn = list(least(iter(found.to_batches())))[0]
+    chosen = docs.sparkSession.createDataFrame(pa.Table.from_batches([drawn]))
+    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").toPandas()
     model = train(sample["text"].tolist(), sample["lang"].tolist())
     del sample
     give_back()

@@ -351,7 +351,7 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = 6000, most_keys: int = 20_000, least_gain: float = 25.0) -> Model:
-    """Learn from labels (doc_id, toxic): at most ``most`` rows of either class, drawn by hash of the id.
+    """Learn from labels (doc_id, toxic): at most ``most`` distinct texts of either class, drawn by hash of the text.
 
     Word and word-beginning keys are kept whose likelihood ratio (G squared)
     for the class is at least ``least_gain``; over these a logistic model with
@@ -361,8 +361,11 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = 6000, mo
     spark = docs.sparkSession
     chars = char_model(docs)
     named = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(usable)
-    drawn = [named.where(F.col("toxic") == c).orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").limit(most) for c in (0, 1)]
-    sample = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id").select("toxic", "text").dropDuplicates(["toxic", "text"])
+    texts = docs.where("text IS NOT NULL").select("doc_id", "text", F.xxhash64(F.lit(9), F.xxhash64("text")).alias("h"))
+    # Of equal texts of one label one document stands for all.
+    pairs = texts.select("doc_id", "h").join(named, "doc_id").groupBy("toxic", "h").agg(F.min("doc_id").alias("doc_id"))
+    drawn = [pairs.where(F.col("toxic") == c).orderBy("h").limit(most) for c in (0, 1)]
+    sample = texts.join(F.broadcast(drawn[0].unionByName(drawn[1])), ["doc_id", "h"]).select("toxic", "text").dropDuplicates(["toxic", "text"])
     shared = spark.sparkContext.broadcast(chars)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

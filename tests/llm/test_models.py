@@ -173,6 +173,31 @@ def test_long_words_are_read_to_their_end(spark):
     assert ord("c") << 42 | ord("d") << 21 in grams and ord("a") << 42 | ord("a") << 21 not in grams
 
 
+def test_copies_and_many_languages_take_nothing_from_the_sample(spark, monkeypatch):
+    rows = [(k, "copy of one text", "a") for k in range(300)] + [(1000 + k, f"text {k}", "a") for k in range(30)]
+    rows += [(2000 + k, f"of language {k}", f"l{k}") for k in range(130)] + [(3000, None, "n"), (3001, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = {}
+    monkeypatch.setattr(language, "train", lambda texts, langs: got.update(texts=texts, langs=langs))
+    language.fit(docs, F.lit(True), per_language=20)
+    pairs = set(zip(got["texts"], got["langs"], strict=True))
+    assert len(pairs) == len(got["texts"]) and set(got["langs"]) == {"a", *(f"l{k}" for k in range(130))} and got["langs"].count("a") == 20
+    language.fit(docs, F.lit(True), per_language=50)
+    assert got["langs"].count("a") == 31
+    # 15 clean texts and 16 toxic ones, one of them in 300 copies.
+    labels = docs.where("lang = 'a'").select("doc_id", F.when(F.col("doc_id") < 1000, 1).otherwise(F.pmod("doc_id", F.lit(2))).cast("int").alias("toxic"))
+    sizes, real = {}, toxicity.materialize
+
+    def kept(d, name):
+        made = real(d, name)
+        sizes["n"] = {r["toxic"]: r["count"] for r in made.groupBy("toxic").count().collect()}
+        return made
+
+    monkeypatch.setattr(toxicity, "materialize", kept)
+    toxicity.fit(docs, labels, F.lit(True), most=12)
+    assert sizes["n"] == {0: 12, 1: 12}
+
+
 def test_lean_passes_batches_on():
     b = pa.record_batch([pa.array([1, 2])], names=["a"])
     assert list(lean(lambda it: it)(iter([b]))) == [b]
