@@ -104,6 +104,10 @@ def decode(word: str, model: CharModel, spaced: bool = False, inner: tuple[int,
     # Of each state the cost, and the parts made so far as a chain of pairs.
     states: dict[str, tuple[float, tuple | None]] = {EDGE * 2: (0.0, None)}
     for k, c in enumerate(word):
+        if len(states) == 1 and not spaced and c.isalpha() and (not k or word[k - 1] != c):  # nothing to choose
+            ((context, (cost, made)),) = states.items()
+            states = {context[1] + c: (cost + model.cost(context, c), (made, c))}
+            continue
         options: list[tuple[str, float]] = []
         if c.isalpha():
             options.append((c, 0.0))
@@ -145,12 +149,18 @@ _EDGE = "^[" + re.escape(SIGNS) + "]|[" + re.escape(SIGNS) + "]$"
 def maybe_touched(words: pa.StringArray) -> np.ndarray:
     """Of which words touched() may hold: marks and letters, or any character three times."""
     has = lambda pattern: pc.match_substring_regex(words, pattern).to_numpy(zero_copy_only=False)
-    found = has(r"[\p{Nd}@$!|+(<€£§.\-_*~'\"^,/\\]") & has(r"[\pL\p{Nl}\p{No}]")
-    flat, n = points(words)
-    at = np.flatnonzero((flat[2:] == flat[1:-1]) & (flat[1:-1] == flat[:-2]))
-    stop = np.cumsum(n)
-    word = np.searchsorted(stop, at, side="right")
-    found[word[at + 2 < stop[word]]] = True
+    found = np.array(has(r"[\p{Nd}@$!|+(<€£§.\-_*~'\"^,/\\]") & has(r"[\pL\p{Nl}\p{No}]"))
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    flat = np.frombuffer(words.buffers()[2] or b"", np.uint8)[: int(offsets[-1])] if len(words) else np.zeros(0, np.uint8)
+    for size in (1, 2, 3, 4) if len(flat) and flat.max() > 127 else (1,):  # bytes of a character
+        same = flat[size:] == flat[:-size]
+        for _ in range(2 * size - 1):
+            same = same[1:] & same[:-1] if len(same) else same
+        at = np.flatnonzero(same)
+        word = np.searchsorted(offsets, at, side="right") - 1
+        inside = (word >= 0) & (word < len(words))
+        at, word = at[inside], word[inside]
+        found[word[at + 3 * size <= offsets[word + 1]]] = True
     return found
 
 
@@ -160,6 +170,13 @@ def edges(word: str) -> tuple[int, int]:
     return (lo, len(word.rstrip(SIGNS))) if lo < len(word) else (0, 0)
 
 
+def split_edges(texts: pa.Array) -> tuple[Words, Words]:
+    """(words without TRIM at their ends, the same words with the signs at their ends)."""
+    wide = split_words(texts, OUTER)
+    plain = pc.utf8_trim(wide.distinct, characters=TRIM).dictionary_encode()
+    return Words(wide.bounds, plain.indices.to_numpy().astype(np.int64)[wide.codes], plain.dictionary), wide
+
+
 class Restorer:
     """Words of texts with what the channel did undone; decodings are remembered, up to a bound."""
 
@@ -298,10 +315,10 @@ def _hashes(words: pa.StringArray) -> np.ndarray:
 
 def text_keys(b: pa.RecordBatch, restorer: Restorer) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row, key) pairs of a batch's texts, restored words included."""
-    w = split_words(b.column("text"), TRIM)
+    w, wide = split_edges(b.column("text"))
     keys = hashes(w.distinct)[w.codes]
     rows = np.repeat(np.arange(b.num_rows), np.diff(w.bounds))
-    more_rows, more = restorer.extra(w, split_words(b.column("text"), OUTER))
+    more_rows, more = restorer.extra(w, wide)
     if len(more):
         keys = np.concatenate([keys, hashes(pa.array(more, pa.string()))])
         rows = np.concatenate([rows, more_rows])
@@ -439,9 +456,9 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str], restored: bool = F
         table_[m.keys & (SIZE - 1)] = np.arange(len(m.keys))
         for batch in batches:
             for b in chunked(batch):
-                w = split_words(b.column("text"), TRIM)
+                w, wide = split_edges(b.column("text"))
                 rows, at = [], []
-                for words, where in ((w.distinct, None), restorer.extra(w, split_words(b.column("text"), OUTER))[::-1]):
+                for words, where in ((w.distinct, None), restorer.extra(w, wide)[::-1]):
                     if not len(words):
                         continue
                     keys = hashes(words if where is None else pa.array(words, pa.string()))
