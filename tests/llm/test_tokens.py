@@ -36,7 +36,7 @@ def test_pieces_equal_whole_texts(name, monkeypatch):
     texts += ["<|ENDOFTEXT|> A B", "x <|endoftext|> y"]
     texts += ["".join(rnd.choice(alphabet[:-1]) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
     path = tokenizer_path(name)
-    monkeypatch.setattr("pageloom.llm.tokens.PIECES", 300)  # the cache overflows again and again
+    monkeypatch.setattr("pageloom.llm.tokens.ROOM", 20_000)  # the cache overflows again and again
     p, t = PieceTokenizer(path, 1), Tokenizer.from_file(path)
     for k in range(0, len(texts), 500):
         part = texts[k : k + 500]
@@ -47,7 +47,7 @@ def test_pieces_equal_whole_texts(name, monkeypatch):
 
 
 def test_cache_bears_few_long_pieces(monkeypatch):
-    monkeypatch.setattr("pageloom.llm.tokens.IDS", 1000)
+    monkeypatch.setattr("pageloom.llm.tokens.ROOM", 4000)
     path = tokenizer_path(FILES[0])
     p = PieceTokenizer(path, 1)
     for k in range(5):
