@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pageloom.session import materialize, table
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Most words that the exact dynamic programme is left to place.
-WINDOW = 32768
+#: How far from the greedy filling the dynamic programme looks, in words over their common divisor: first, and at most.
+WINDOW, WIDEST = 1 << 15, 1 << 24
 #: Hash cells that share the documents of one (source, length).
 CELLS = 256
 
@@ -44,60 +44,91 @@ def targets(sizes: DataFrame, weights: Sequence[int], budget: float, cap: float)
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that the words come to ``budget``.
+    """How many documents of each length to take: their words come to the largest sum reachable up to ``budget``.
 
     First every length gets its share, with the rounding error carried from
-    the longest to the shortest length; some are given back to leave a budget
-    of at most WINDOW, and a bounded-knapsack programme over the remaining
-    counts (binary split, parents recorded) fills it as far as it can.
+    the longest to the shortest length. From there a bounded-knapsack programme
+    moves: it takes more of a length, as many as are left, or gives back, as
+    many as are taken, and notes which differences from the greedy sum can be
+    made. No sum is a better one than the budget without its remainder by the lengths'
+    common divisor; when that is met, the programme ends. If it is not, the
+    programme starts over with eight times the room for differences, up to
+    what all moves together come to, or to (3 L + 1) L for a longest length L: if
+    any selection meets a sum, one does that differs by no more moves than
+    that (among more moves, ordered to stay near the budget, two sums would be equal,
+    and those between could be left out). Only where that is more than
+    WIDEST words can a sum remain that was not found.
     """
     take = np.zeros(len(lengths), dtype=np.int64)
-    total = int((lengths * counts).sum())
+    real = np.asarray(lengths) > 0
+    total = int((lengths * counts)[real].sum())
     if budget <= 0 or not total:
         return take
     if budget >= total:
-        return counts.copy()
-    order = np.argsort(-lengths, kind="stable")
+        return np.where(real, counts, 0)
+    unit = int(np.gcd.reduce(np.asarray(lengths)[real]))
+    size, budget, total = np.where(real, lengths, 0) // unit, budget // unit, total // unit
+    order = [i for i in np.argsort(-size, kind="stable").tolist() if size[i] > 0]
     seen = taken = 0
     for i in order:
-        size, n = int(lengths[i]), int(counts[i])
-        if size <= 0:
-            continue
-        seen += size * n
-        take[i] = min(n, max(0, (budget * seen // total - taken) // size))
-        taken += size * int(take[i])
+        seen += int(size[i]) * int(counts[i])
+        take[i] = min(int(counts[i]), max(0, (budget * seen // total - taken) // int(size[i])))
+        taken += int(size[i]) * int(take[i])
     left = budget - taken
-    for i in order[::-1]:
-        size = int(lengths[i])
-        if size <= 0:
-            continue
-        back = min(int(take[i]), 8, max(0, (WINDOW - left) // size))
-        take[i] -= back
-        left += back * size
-    left = min(left, budget)
-    reach = np.zeros(left + 1, dtype=bool)
-    reach[0] = True
-    parent = np.full(left + 1, -1, dtype=np.int64)
+    longest = int(size.max())
+    bound = min(max(taken, total - taken), (3 * longest + 1) * longest + left)
+    room = min(max(WINDOW, 2 * longest + left), bound)
+    while True:
+        moves = _moves(size, counts, take, order, left, room)
+        if moves is not None or room >= min(bound, WIDEST):
+            break
+        room = min(8 * room, bound, WIDEST)
+    if moves is None:
+        moves = _moves(size, counts, take, order, left, room, nearest=True)
+    for i, k in moves:
+        take[i] += k
+    return take
+
+
+def _moves(size: np.ndarray, counts: np.ndarray, take: np.ndarray, order: list[int], left: int, room: int, nearest: bool = False) -> list[tuple[int, int]] | None:
+    """(length, documents more or fewer) that add ``left`` words, by way of sums within ``room`` of 0; with ``nearest``, the most words up to ``left``."""
+    reach = np.zeros(2 * room + 1, dtype=bool)  # place of a sum: room + sum
+    goal = room + left
+    if left > room:
+        goal = 2 * room
+    reach[room] = True
+    parent = np.full(len(reach), -1, dtype=np.int32)
     items: list[tuple[int, int]] = []
-    for i in order:
-        size, n, k = int(lengths[i]), int(counts[i] - take[i]), 1
-        while size > 0 and n > 0 and not reach[left]:
-            k = min(k, n)
-            step = k * size
-            if step > left:
+    rest = {(i, sign): min(n, 2 * room // int(size[i])) for i in order for sign, n in ((1, int(counts[i] - take[i])), (-1, int(take[i])))}
+    k = 1
+    # Single documents of every length first, then twos, fours: what one length gives another takes back at once.
+    while rest and not reach[goal]:
+        for (i, sign), n in list(rest.items()):
+            part = min(k, n)
+            step = part * int(size[i])
+            if part == n or step >= len(reach):
+                del rest[i, sign]
+            else:
+                rest[i, sign] = n - part
+            if not part or step >= len(reach):
+                continue
+            here, there = (reach[:-step], slice(step, None)) if sign > 0 else (reach[step:], slice(None, -step))
+            new = here & ~reach[there]
+            parent[there][new] = len(items)
+            reach[there] |= new
+            items.append((i, sign * part))
+            if reach[goal]:
                 break
-            new = reach[:-step] & ~reach[step:]
-            parent[step:][new] = len(items)
-            reach[step:] |= new
-            items.append((i, k))
-            n -= k
-            k *= 2
-    at = int(np.flatnonzero(reach)[-1])
-    while at:
+        k *= 2
+    if not reach[goal] and not nearest:
+        return None
+    at = int(np.flatnonzero(reach[: goal + 1])[-1])
+    made = []
+    while at != room:
         i, k = items[parent[at]]
-        take[i] += k
-        at -= k * int(lengths[i])
-    return take
+        made.append((i, k))
+        at -= k * int(size[i])
+    return made
 
 
 def _allocate(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -122,30 +153,31 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), budget: float = 1.5
     and reruns agree.
 
     Null text has size 0 and, as an empty one, costs nothing: it gets only the
-    whole passes. Null source is a source, last in order. Equal rows are
+    whole passes. A text of any length is one item of its size. Null source is a source, last in order. Equal rows are
     separate documents and interchangeable. An empty table gives no rows.
-    Columns of docs that are named as one of the added are replaced.
+    Columns of docs that are named as one of the added are replaced; all others are kept, whatever their names.
     """
     added = ("size", "source_size", "target", "copies")
-    work = ("skey", "_h", "_cell")
-    d = docs.drop(*[c for c in docs.columns if c.lower() in added + work])
-    d = d.withColumn("size", F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)).cast("long"), F.lit(0).cast("long")))
-    d = d.withColumn("skey", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-")))
-    d = d.withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")))
-    d = d.withColumn("_cell", F.pmod(F.col("_h"), F.lit(CELLS)))
-    cells = materialize(d.groupBy("skey", "size", "_cell").agg(F.count("*").alias("n"), F.first("source").alias("source")), "mixing-cells")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in added]
+    # The caller's row is one column, so that its names cannot meet those used here.
+    d = docs.select(
+        F.struct(*kept).alias("doc"), "source", F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)).cast("long"), F.lit(0).cast("long")).alias("size"),
+        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-")).alias("skey"), F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("h"),
+    )
+    d = d.withColumn("cell", F.pmod(F.col("h"), F.lit(CELLS)))
+    cells = materialize(d.groupBy("skey", "size", "cell").agg(F.count("*").alias("n"), F.first("source").alias("source")), "mixing-cells")
     hist = cells.groupBy("skey", "size").agg(F.sum("n").alias("n"), F.first("source").alias("source"))
     per_source = hist.groupBy("skey").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.first("source").alias("source"))
     plan = hist.select("skey", "size", "n").join(targets(per_source, weights, budget, cap), "skey")
     plan = plan.groupBy("skey").applyInPandas(_allocate, "skey string, size long, source_size long, target double, whole long, take long")
-    before = Window.partitionBy("skey", "size").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select("skey", "size", "_cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    before = Window.partitionBy("skey", "size").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select("skey", "size", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     # These tables grow with the documents, however small their files are: never broadcast.
     plan = plan.hint("merge").join(cells, ["skey", "size"])
-    rank = F.row_number().over(Window.partitionBy("skey", "size", "_cell").orderBy("_h", "doc_id"))
-    d = d.withColumn("_rank", rank).join(plan.hint("merge"), ["skey", "size", "_cell"])
-    copies = (F.col("whole") + (F.col("before") + F.col("_rank") <= F.col("take")).cast("long")).cast("int")
-    return d.withColumn("copies", copies).drop("skey", "_h", "_cell", "_rank", "before", "whole", "take")
+    rank = F.row_number().over(Window.partitionBy("skey", "size", "cell").orderBy("h", "doc.doc_id"))
+    d = d.drop("source").withColumn("rank", rank).join(plan.hint("merge"), ["skey", "size", "cell"])
+    copies = (F.col("whole") + (F.col("before") + F.col("rank") <= F.col("take")).cast("long")).cast("int")
+    return d.select("doc.*", "size", "source_size", "target", copies.alias("copies"))
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,46 +45,57 @@ def resolve_revisits(records: DataFrame, permitted: tuple[str, ...] = PERMITTED,
     the shuffle and split by quantile cuts of ts: within a cut a window finds
     the last response, and what earlier cuts carry in comes from a table of
     at most ``cuts`` rows per URL. A URL with a third of all rows is so spread
-    over the cuts. Payloads move once, for the join by record_id.
-    Null url or ts: 'no_prior'. Of several responses with one record_id the
-    smallest by (ts, payload) counts. Repeated revisits give a row each.
+    over the cuts. Revisits without a prior response leave before the join
+    that fetches headers and payload. In that join a response goes to each cut in
+    which it is asked for, so that its revisits are spread as well, and no
+    aggregate stands in its stage, so AQE can split what is still skewed.
+
+    Null url or ts: 'no_prior'. A response with a null record_id cannot be
+    referred to and is no prior of any revisit. Of several responses with one
+    record_id the smallest by (ts, payload) counts. Repeated revisits give a
+    row each. Payloads and headers may be of any length. An empty table gives no
+    rows. Columns of records that are named as one of the added are replaced;
+    all others are kept, whatever their names.
     """
-    out = ("canonical_url", "resolution", "resolved_id", "merged_headers", "merged_payload")
-    r = records.drop(*[c for c in records.columns if c.lower() in out]).withColumn("canonical_url", canonical_url(F.col("url")))
-    full = (F.col("rtype") == "response") & (F.col("status") == 200)
-    marks = r.agg(F.percentile_approx("ts", [i / cuts for i in range(1, cuts)], 2000)).first()[0]
+    added = ("canonical_url", "resolution", "resolved_id", "merged_headers", "merged_payload")
+    kept = [F.col(f"`{c}`") for c in records.columns if c.lower() not in added]
+    # The caller's row is one column, so that its names cannot meet those used here.
+    r = records.select(F.struct(*kept).alias("rec"), canonical_url(F.col("url")).alias("canon"), F.col("ts").alias("at"), F.col("rtype").alias("kind"))
+    full = (F.col("kind") == "response") & (F.col("rec.status") == 200) & F.col("rec.record_id").isNotNull()
+    marks = r.agg(F.percentile_approx("at", [i / cuts for i in range(1, cuts)], 2000)).first()[0]
     steps = F.array(*[F.lit(int(x)) for x in sorted(set(marks or []))]) if marks else F.array().cast("array<bigint>")
-    points = r.where("canonical_url IS NOT NULL AND ts IS NOT NULL").groupBy("canonical_url", "ts").agg(F.max(F.when(full, F.col("record_id"))).alias("at_id"))
-    points = points.withColumn("cut", F.size(F.filter(steps, lambda x: x <= F.col("ts"))))
-    last = F.when(F.col("at_id").isNotNull(), F.struct("ts", "at_id"))
-    inner = Window.partitionBy("canonical_url", "cut").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
-    outer = Window.partitionBy("canonical_url").orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
-    carried = points.groupBy("canonical_url", "cut").agg(F.max(last).alias("last"))
-    carried = carried.select("canonical_url", "cut", F.max("last").over(outer).alias("carried"))
-    points = points.withColumn("own", F.max(last).over(inner)).join(carried, ["canonical_url", "cut"])
-    prior = points.select("canonical_url", "ts", F.coalesce("own", "carried").getField("at_id").alias("_prior")).where("_prior IS NOT NULL")
-    fields = F.struct("ts", "payload", "etag", "last_modified", F.map_entries(_lower(F.col("headers"))).alias("h"))
-    stored = r.where(full).groupBy(F.col("record_id").alias("_prior")).agg(F.min(fields).alias("_stored")).withColumn("_salt", F.lit(0))
-    revisits = r.where("rtype = 'revisit'").join(prior, ["canonical_url", "ts"], "left")
-    # Revisits without a prior response find nothing; the salt spreads them over all tasks.
-    salt = F.when(F.col("_prior").isNull(), F.pmod(F.xxhash64("record_id", "ts"), F.lit(4096)).cast("int") + 1).otherwise(0)
-    revisits = revisits.withColumn("_salt", salt).join(stored, ["_prior", "_salt"], "left").drop("_salt")
-    s = F.col("_stored")
+    points = r.where("canon IS NOT NULL AND at IS NOT NULL").groupBy("canon", "at").agg(F.max(F.when(full, F.col("rec.record_id"))).alias("at_id"))
+    points = points.withColumn("cut", F.size(F.filter(steps, lambda x: x <= F.col("at"))))
+    last = F.when(F.col("at_id").isNotNull(), F.struct("at", "at_id"))
+    inner = Window.partitionBy("canon", "cut").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy("canon").orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
+    carried = points.groupBy("canon", "cut").agg(F.max(last).alias("last"))
+    carried = carried.select("canon", "cut", F.max("last").over(outer).alias("carried"))
+    points = points.withColumn("own", F.max(last).over(inner)).join(carried, ["canon", "cut"])
+    prior = points.select("canon", "at", "cut", F.coalesce("own", "carried").getField("at_id").alias("prior")).where("prior IS NOT NULL")
+    asked = r.where("kind = 'revisit'").join(prior, ["canon", "at"], "left")
+    fields = F.struct("at", "rec.payload", "rec.etag", "rec.last_modified", F.map_entries(_lower(F.col("rec.headers"))).alias("h"))
+    stored = r.where(full).groupBy(F.col("rec.record_id").alias("prior")).agg(F.min(fields).alias("stored"))
+    dealt = prior.select("prior", "cut").distinct().join(stored, "prior")
+    found = asked.where("prior IS NOT NULL").join(dealt, ["prior", "cut"])
+    s = F.col("stored")
     tag = lambda c: F.regexp_replace(c, "^W/", "")
-    agree = F.when(F.col("etag").isNotNull() & s["etag"].isNotNull(), tag(F.col("etag")) == tag(s["etag"])).when(
-        F.col("last_modified").isNotNull() & s["last_modified"].isNotNull(), F.col("last_modified") == s["last_modified"]
+    agree = F.when(F.col("rec.etag").isNotNull() & s["etag"].isNotNull(), tag(F.col("rec.etag")) == tag(s["etag"])).when(
+        F.col("rec.last_modified").isNotNull() & s["last_modified"].isNotNull(), F.col("rec.last_modified") == s["last_modified"]
     )
-    state = F.when(s.isNull(), "no_prior").when(agree.isNull(), "unverified").when(agree, "resolved").otherwise("mismatch")
-    fresh = F.map_filter(_lower(F.coalesce(F.col("headers"), F.create_map().cast("map<string,string>"))), lambda k, _: k.isin(*permitted))
+    state = F.when(agree.isNull(), "unverified").when(agree, "resolved").otherwise("mismatch")
+    fresh = F.map_filter(_lower(F.coalesce(F.col("rec.headers"), F.create_map().cast("map<string,string>"))), lambda k, _: k.isin(*permitted))
     old = F.map_filter(F.coalesce(F.map_from_entries(s["h"]), F.create_map().cast("map<string,string>")), lambda k, _: ~F.map_contains_key(fresh, k))
     done = F.col("resolution") == "resolved"
-    revisits = revisits.withColumn("resolution", state)
-    revisits = revisits.withColumns({"resolved_id": F.when(done, F.col("_prior")), "merged_headers": F.when(done, F.map_concat(old, fresh)), "merged_payload": F.when(done, s["payload"])})
-    others = r.where("rtype IS NULL OR rtype <> 'revisit'").withColumns({
-        "resolution": F.lit("response"), "resolved_id": F.lit(None).cast(dict(r.dtypes)["record_id"]),
-        "merged_headers": F.lit(None).cast("map<string,string>"), "merged_payload": F.lit(None).cast("string"),
-    })
-    return revisits.drop("_prior", "_stored").unionByName(others)
+    found = found.withColumn("resolution", state).select(
+        "rec", "canon", "resolution", F.when(done, F.col("prior")).alias("resolved_id"),
+        F.when(done, F.map_concat(old, fresh)).alias("merged_headers"), F.when(done, s["payload"]).alias("merged_payload"),
+    )
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema.fields[3:]]
+    bare = [asked.where("prior IS NULL").select("rec", "canon", F.lit("no_prior").alias("resolution"), *none)]
+    bare.append(r.where("kind IS NULL OR kind <> 'revisit'").select("rec", "canon", F.lit("response").alias("resolution"), *none))
+    every = found.unionByName(bare[0]).unionByName(bare[1])
+    return every.select("rec.*", F.col("canon").alias("canonical_url"), *added[1:])
 
 
 def _lower(headers: Column) -> Column:

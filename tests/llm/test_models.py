@@ -15,7 +15,7 @@ def test_forward_backward_against_all_paths():
     rng = np.random.default_rng(3)
     scores, moves = rng.standard_normal((7, 3)), rng.standard_normal((3, 3))
     first, length = np.array([0, 4]), np.array([4, 3])
-    post, pairs = language.marginals(scores, first, length, moves)
+    post, pairs = language.marginals(scores, (first, length, np.zeros(2, np.int64)), moves)
     want, want_pairs = np.zeros((7, 3)), np.zeros((3, 3))
     for lo, n in zip(first, length, strict=True):
         paths = np.stack(np.meshgrid(*[range(3)] * n, indexing="ij"), axis=-1).reshape(-1, n)
@@ -30,9 +30,37 @@ def test_forward_backward_against_all_paths():
 
 
 def test_chains_cover_texts():
-    first, length = language.chains(np.array([0, 0, 5, 5 + 300, 305]))
-    assert length.max() <= language.CHAIN and length.sum() == 305
-    assert sorted(np.concatenate([np.arange(a, a + n) for a, n in zip(first, length, strict=True)]).tolist()) == list(range(305))
+    first, length, place = language.chains(np.array([0, 0, 5, 5 + 3000, 3005]))
+    assert length.max() <= language.CHAIN and length.sum() == 3005 and place.max() == 2999 // language.CHAIN
+    assert sorted(np.concatenate([np.arange(a, a + n) for a, n in zip(first, length, strict=True)]).tolist()) == list(range(3005))
+
+
+def test_blocks_carry_the_chains_state(monkeypatch):
+    rng = np.random.default_rng(4)
+    bounds = np.array([0, 50, 50, 51, 70, 71, 200])
+    scores, moves = 2 * rng.standard_normal((200, 4)), rng.standard_normal((4, 4))
+    monkeypatch.setattr(language, "CHAIN", 1000)
+    want, want_pairs = language.marginals(scores, language.chains(bounds), moves)
+    for size in (1, 2, 7, 19, 64):
+        monkeypatch.setattr(language, "CHAIN", size)
+        post, pairs = language.marginals(scores, language.chains(bounds), moves)
+        assert np.allclose(post, want, atol=1e-4) and np.allclose(pairs, want_pairs, atol=1e-2)
+
+
+def test_switching_is_learned():
+    texts = [" ".join(random.Random(k).choices(["aba", "abo", "bab"] if k % 2 else ["xyx", "yxy", "zyz"], k=90)) for k in range(60)]
+    model = language.train(texts, ["a" if k % 2 else "x" for k in range(60)])
+    stay, leave = np.diag(model.moves).min(), model.moves[~np.eye(2, dtype=bool)].max()
+    assert stay > leave > stay - 12
+
+
+def test_a_language_in_many_copies_is_learned(spark):
+    common = [(k, f"aab bba abab {k % 40} aaa", "aa") for k in range(20_000)]
+    rare = [(100_000 + k, f"zyx xyz zzy {k} yyx", "zz") for k in range(100)]
+    docs = spark.createDataFrame(common + rare, "doc_id long, text string, lang string")
+    model = language.fit(docs, F.lit(True))
+    assert model.labels == ["aa", "zz"]
+    assert {r["lang_pred"] for r in language.label(docs.limit(50), model, ["doc_id"]).collect()} == {"aa"}
 
 
 def test_language_of_held_out_texts(spark):
@@ -51,7 +79,8 @@ def test_code_switched_text_is_labelled_word_by_word(spark):
     texts = {x["lang"]: x["t"] for x in docs.where("n_chars > 3000").groupBy("lang").agg(F.max("text").alias("t")).collect()}
     mixed = " ".join([*texts["de"].split()[:300], *texts["fr"].split()[:100]])
     model = language.fit(docs, F.lit(True))
-    r = language.label(spark.createDataFrame([(1, mixed)], "doc_id long, text string"), model, ["doc_id"]).first()
+    r = language.label(spark.createDataFrame([(1, mixed)], "doc_id long, text string"), model, ["doc_id"], per_word=True).first()
+    assert r["labels"][:250].count("de") > 240 and r["labels"][-80:].count("fr") > 70
     assert r["lang_pred"] == "de" and 0.6 < r["score"] < 0.9
 
 
