@@ -37,7 +37,9 @@ def pack(docs: DataFrame, path: str | None = None, window: int = 2048, packet: i
     ids holds WIDTH bytes an id, little-endian. Null text is empty (one id), null source is a source of its own. Repeated
     rows are separate documents. Documents are read once and never shuffled
     whole until pieces meet ids by (part, seq); rounds, not sources, deal out
-    the sort, so a hot source is no hot task. An empty table gives no rows.
+    the sort, so a hot source is no hot task. A text of any length is packets in a row. Packets
+    due in one round go by source, then by place. An empty table gives no rows. Columns other than
+    doc_id, text and source are ignored, whatever their names.
     """
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-"))
     made = materialize(tokenize(docs, path or tokenizer_path("byte_bpe_50k.json"), END_ID, key, WIDTH), "packing-ids")

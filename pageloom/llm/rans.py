@@ -174,12 +174,20 @@ def decode_file(raw: bytes, t: Table) -> tuple[list[int | None], np.ndarray, int
     return [None if z else int(k) for k, z in zip(keys, null, strict=True)], lengths, start, blocks
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """A folder as a URI with its scheme: one without is what Hadoop's default file system holds, not a machine's own disk."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+
+
 def _store(uri: str):  # noqa: ANN202
-    """(file system, path) of a folder that all executors share."""
+    """(file system, path) of a folder that all executors share; a scheme that Arrow does not know raises."""
     from pyarrow import fs
 
-    uri = uri.replace("s3a://", "s3://", 1)
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    scheme, rest = uri.split(":", 1)
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}:{rest}")
 
 
 def _put(uri: str, name: str, raw: bytes) -> None:
@@ -208,9 +216,11 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, shard_id
     about ``shard_ids`` ids and whole documents; a longer document is a file
     of several blocks. Names and contents depend only on the work table, so a
     rerun task replaces its files by equal ones. Null text is empty: one end
-    id. No rows: no files but the table.
+    id. Repeated rows are separate documents; a null doc_id is kept as such. No rows: no files but the table. Columns other than
+    doc_id and text are ignored, whatever their names.
     """
     spark = docs.sparkSession
+    folder = _qualified(spark, folder)
     path = path or tokenizer_path("word_bpe_49k.json")
     wide = vocabulary_size(path)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
@@ -269,6 +279,8 @@ def read_tokens(files: DataFrame, folder: str, with_ids: bool = True) -> DataFra
     A task decodes file after file and block after block; the files are dealt
     out evenly. Any damage raises.
     """
+    folder = _qualified(files.sparkSession, folder)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = None
         for b in batches:

@@ -8,6 +8,7 @@ words scores the text.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator, Sequence
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import Words, chunked, give_back, lean, letters, mix, points, prefix_hashes, sliced, split_words
+from pageloom.llm.words import WIDTH, Words, chunked, give_back, lean, letters, mix, points, prefix_hashes, sliced, split_words
 from pageloom.session import materialize, table
 
 TRIM = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„‘’…–—¡¿"
@@ -239,6 +240,16 @@ class Restorer:
 
     def extra(self, w: Words, wide: Words | None = None) -> tuple[np.ndarray, list[str]]:
         """(text, word) pairs that restoring adds to the texts' own words ``w``; ``wide`` are they with the signs at their ends."""
+        return self.restored(w, wide)[1:]
+
+    def restored(self, w: Words, wide: Words | None = None) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(which of the texts' words stand as they are, and (text, word) pairs for the others).
+
+        A word that was decoded to another and a letter of a decoded run
+        give way to what was meant. Signs at a word's ends may be punctuation, so
+        there the word without them stays and its readings come beside it.
+        """
+        stays = np.ones(len(w.codes), bool)
         rows: list[int] = []
         found: list[str] = []
         start, made = np.zeros(len(w.distinct) + 1, np.int64), []
@@ -250,7 +261,8 @@ class Restorer:
                     start[k + 1] = 1
                     made.append(new)
         _per_text(w, start, made, rows, found)
-        self._runs(w, False, rows, found)
+        stays &= ~(start[1:] > 0)[w.codes] if len(w.codes) else stays
+        self._runs(w, False, rows, found, stays)
         if wide is not None:
             start, made = np.zeros(len(wide.distinct) + 1, np.int64), []
             edge = pc.match_substring_regex(wide.distinct, _EDGE).to_numpy(zero_copy_only=False)
@@ -259,10 +271,10 @@ class Restorer:
                 start[k + 1] = len(new)
                 made += new
             _per_text(wide, start, made, rows, found)
-            self._runs(wide, True, rows, found)
-        return np.array(rows, np.int64), found
+            self._runs(wide, True, rows, found, stays)
+        return stays, np.array(rows, np.int64), found
 
-    def _runs(self, w: Words, signs: bool, rows: list[int], found: list[str]) -> None:
+    def _runs(self, w: Words, signs: bool, rows: list[int], found: list[str], stays: np.ndarray) -> None:
         """Runs of lone characters; with ``signs`` only those with a sign in them, in all their readings."""
         single = (pc.utf8_length(w.distinct).to_numpy() == 1)[w.codes] if len(w.distinct) else np.zeros(0, bool)
         if single.sum() <= 2:
@@ -279,6 +291,7 @@ class Restorer:
                 if signs and not any(c in SIGNS for c in run):
                     continue
                 # Without the signs at its ends a run may still have some within.
+                stays[lo:hi] = False
                 read = {self.word(run.strip(SIGNS), True), *self.readings(run, True)} if signs else {self.word(run, True)}
                 for word in sorted({x for r in read for x in r.split(" ")}):
                     rows.append(row)
@@ -309,6 +322,8 @@ def _hashes(words: pa.StringArray) -> np.ndarray:
     keys = [mix(heads[:, -1] + n.astype(np.uint64) * np.uint64(7919) + np.uint64(1))]
     for k in (3, 4, 5, 6, 7):
         keys.append(np.where(n > k, mix(heads[:, k - 1] + np.uint64(100 + k)), np.uint64(0)))
+    for k in np.flatnonzero(n > WIDTH).tolist():  # longer words whole
+        keys[0][k] = int.from_bytes(hashlib.blake2b(words[k].as_py().encode(), digest_size=8).digest(), "little")
     keys[0][n == 0] = 0
     return np.stack(keys, axis=1).view(np.int64)
 
@@ -316,9 +331,9 @@ def _hashes(words: pa.StringArray) -> np.ndarray:
 def text_keys(b: pa.RecordBatch, restorer: Restorer) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row, key) pairs of a batch's texts, restored words included."""
     w, wide = split_edges(b.column("text"))
-    keys = hashes(w.distinct)[w.codes]
-    rows = np.repeat(np.arange(b.num_rows), np.diff(w.bounds))
-    more_rows, more = restorer.extra(w, wide)
+    stays, more_rows, more = restorer.restored(w, wide)
+    keys = hashes(w.distinct)[w.codes[stays]]
+    rows = np.repeat(np.arange(b.num_rows), np.diff(w.bounds))[stays]
     if len(more):
         keys = np.concatenate([keys, hashes(pa.array(more, pa.string()))])
         rows = np.concatenate([rows, more_rows])
@@ -417,18 +432,26 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = 6000, mo
             cut = np.searchsorted(rows[hit], np.arange(x.num_rows + 1)).astype(np.int32)
             yield pa.record_batch([x.column("toxic"), pa.ListArray.from_arrays(pa.array(cut), pa.array(at[hit].astype(np.int32)))], names=["toxic", "at"])
 
-    rows = made.mapInArrow(lean(found), "toxic int, at array<int>").collect()
-    rows.sort(key=lambda r: (r["toxic"], r["at"]))
-    y = np.array([float(r["toxic"]) for r in rows])
-    doc = np.repeat(np.arange(len(rows)), [len(r["at"]) for r in rows])
-    at = np.array([k for r in rows for k in r["at"]], np.int64)
+    rows = made.mapInArrow(lean(found), "toxic int, at array<int>").toArrow().combine_chunks()
+    lists = rows.column("at").combine_chunks()
+    y = rows.column("toxic").to_numpy().astype(np.float64)
+    size = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    doc, at = np.repeat(np.arange(len(y)), size), lists.flatten().to_numpy().astype(np.int64)
+    del rows, lists
+    # The order in which tasks answer must not reach the sums: rows by class and keys.
+    sums = np.bincount(doc, weights=(mix(at.astype(np.uint64) + np.uint64(1)) >> np.uint64(12)).astype(np.float64), minlength=len(y))
+    order = np.lexsort((sums, size, y))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    back = np.argsort(rank[doc], kind="stable")
+    y, doc, at = y[order], rank[doc][back], at[back]
     weights, bias = np.zeros(len(keys)), math.log(n1 / n0)
     seen, seen_b = np.full(len(keys), 1e-6), 1e-6
     heavy = np.where(y == 1, min(3.0, max(1.0, n0 / n1)), 1.0)
     for _ in range(600):
-        z = np.bincount(doc, weights=weights[at], minlength=len(rows)) + bias
+        z = np.bincount(doc, weights=weights[at], minlength=len(y)) + bias
         miss = heavy * (y - 1 / (1 + np.exp(-np.clip(z, -30, 30))))
-        g = np.bincount(at, weights=miss[doc], minlength=len(keys)) / len(rows) - 1e-5 * weights
+        g = np.bincount(at, weights=miss[doc], minlength=len(keys)) / len(y) - 1e-5 * weights
         gb = miss.mean()
         seen, seen_b = seen + g * g, seen_b + gb * gb
         weights += 0.3 * g / np.sqrt(seen)
@@ -440,9 +463,12 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = 6000, mo
 def score(docs: DataFrame, model: Model, keep: Sequence[str], restored: bool = False) -> DataFrame:
     """The columns ``keep`` of docs plus score (0 to 1), predicted and, if asked for, the restored text.
 
-    Whole texts are scored, each once per distinct key of its own and its
-    restored words. Null and empty texts get the score of no evidence. Rows
-    are independent: nothing is shuffled.
+    Whole texts are scored as restored: words that the channel touched count
+    as what they were decoded to, each key once per text; words and texts may be of any length. Null
+    and empty texts get the score of no evidence. A score of exactly 0.5 is
+    predicted 1. Rows are independent and nothing is shuffled: repeated rows get
+    equal scores, an empty table gives no rows. Columns of ``keep`` that are
+    named as one of the added are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in keep if c.lower() not in ("score", "predicted", "restored")]
@@ -458,7 +484,8 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str], restored: bool = F
             for b in chunked(batch):
                 w, wide = split_edges(b.column("text"))
                 rows, at = [], []
-                for words, where in ((w.distinct, None), restorer.extra(w, wide)[::-1]):
+                stays, more_rows, more = restorer.restored(w, wide)
+                for words, where in ((w.distinct, None), (more, more_rows)):
                     if not len(words):
                         continue
                     keys = hashes(words if where is None else pa.array(words, pa.string()))
@@ -471,7 +498,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str], restored: bool = F
                     if where is None:
                         per = np.bincount(k, minlength=len(words))
                         start = np.cumsum(per) - per
-                        use = np.flatnonzero(per[w.codes])
+                        use = np.flatnonzero(stays & (per[w.codes] > 0))
                         codes = w.codes[use]
                         n = per[codes]
                         inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)

@@ -144,6 +144,18 @@ def test_runs_of_lone_letters_stay_in_their_text():
     assert list(zip(rows.tolist(), words, strict=True)) == [(0, "abc"), (1, "xyz")]
 
 
+def test_restored_words_replace_what_stood_there():
+    r = toxicity.Restorer(chars({"idiot": 50, "abc": 5, "hello": 100}))
+    w = split_words(pa.array(["hello 1d10t a b c hello!"]), toxicity.TRIM)
+    stays, rows, words = r.restored(w, split_words(pa.array(["hello 1d10t a b c hello!"]), toxicity.OUTER))
+    assert stays.tolist() == [True, False, False, False, False, True] and {"idiot", "abc"} <= set(words) and set(rows.tolist()) == {0}
+
+
+def test_long_words_of_one_beginning_are_told_apart():
+    k = toxicity.hashes(pa.array(["a" * 40 + "b", "a" * 40 + "c", "a" * 40 + "b"]))[:, 0]
+    assert k[0] != k[1] and k[0] == k[2]
+
+
 def test_signs_at_the_ends_of_words_are_letters_or_punctuation():
     r = toxicity.Restorer(chars({"stupid": 50, "asshole": 50, "shit": 50, "ass": 50, "idiot": 50, "hello": 100, "the": 500}))
     assert r.text("$tupid @sshole s h ! t") == "stupid asshole shit"
