@@ -12,40 +12,53 @@ from pageloom.session import materialize, table
 LEAST_LANGUAGE = 1 / 3
 
 
-def _small_batches(spark: SparkSession) -> None:
-    """Whole texts pass through Python here: few rows in an Arrow batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model predicts to be clean."""
-    _small_batches(spark)
+    """Documents that the toxicity model predicts to be clean.
+
+    Null and empty texts have no evidence against them and stay. Repeated rows share their text's fate,
+    texts of any length are scored whole, other columns (whatever their names) pass, an empty table gives no rows.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out(5, 0))
     return toxicity.score(docs, model, docs.columns).where("predicted = 0").select(*docs.columns)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters, of which one language holds at least a third of the words."""
-    _small_batches(spark)
+    """Documents with letters, of which one language holds at least a third of the words.
+
+    Null texts and those without a letter go; exactly a third is enough. Repeated rows share their text's fate, texts of
+    any length are one chain, other columns (whatever their names) pass, an empty table gives no rows.
+    """
     model = language.fit(docs, ~language.held_out(4, 2))
     found = language.label(docs, model, docs.columns)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    _small_batches(spark)
+    """One document of each group of near copies, that of the smallest (doc_id, text hash).
+
+    Texts that are null or without words all stay; of rows equal in doc_id and text one stays.
+    Other columns (whatever their names) pass, texts are read whole, an empty table gives no rows.
+    """
     return jaccard.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    mixed = mixing.mix(docs).where("copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """Each document as often as the mix takes it.
+
+    A null source is a source. Null and empty texts have size 0 and come in the whole passes alone; repeated rows are
+    separate documents. Other columns (whatever their names) pass, texts of any length are one item, an empty table gives no rows.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    mixed = mixing.mix(docs.select(F.struct(*columns).alias("row"), "doc_id", "text", "source"))
+    return mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences, with a checksum of their ids."""
+    """Pieces of training sequences, with a checksum of their ids.
+
+    A null text is an empty one (its end id alone), a null source a source; repeated rows are separate documents, texts
+    of any length are cut over sequences. Other columns are ignored, an empty table gives no rows.
+    """
     return packing.digest(packing.pack(docs))
 
 
@@ -62,6 +75,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order over all documents; each one's rows are a table, from which the next one reads."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")

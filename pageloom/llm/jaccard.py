@@ -21,6 +21,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 SAMPLES = 64
 #: Largest bucket that is compared without another split, deepest path, rows of a block.
 SMALL, DEPTH, BLOCK = 64, 4, 512
+#: Parts in which a bucket is counted, and shingles of a block's sets on average at most.
+SALTS, BLOCK_SHINGLES = 32, 4_000_000
 #: A pair goes on to the exact check if this share of sampled tokens agrees. At a similarity
 #: of 0.8 the share is 0.8 with deviation 0.05, so less is 4.4 deviations away.
 LEAST_SHARED = 0.58
@@ -224,8 +226,11 @@ def _exact(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
 
 
 def _blocks(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows (with their group's size m) dealt to all pairs of blocks of their group that they take part in."""
-    d = rows.withColumn("nb", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("b", F.pmod(F.xxhash64(F.lit(4), "rid"), F.col("nb")).cast("int"))
+    """Rows (with their group's size m, and its shingles where they are carried) dealt to all pairs of blocks of their group that they take part in."""
+    least = F.ceil(F.col("m") / BLOCK)
+    if "total" in rows.columns:
+        least = F.least(F.greatest(least, F.ceil(F.col("total") / BLOCK_SHINGLES)), F.col("m"))
+    d = rows.withColumn("nb", least.cast("int")).withColumn("b", F.pmod(F.xxhash64(F.lit(4), "rid"), F.col("nb")).cast("int"))
     d = d.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     return d.select(*keys, "rid", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), (F.col("b") <= F.col("o")).alias("left"))
 
@@ -254,8 +259,11 @@ def paths(reps: DataFrame, runs: int) -> DataFrame:
         chosen = F.when(F.pmod(F.xxhash64(F.lit(13), "path"), F.lit(4)) == 0, F.array(first, second)).otherwise(F.array(first))
         at = at.withColumn("c", F.explode(F.array_distinct(chosen)))
         at = at.select("rid", F.xxhash64("path", "c", F.element_at("sig", F.col("c") + 1)).alias("path"))
-        full = at.groupBy("path").agg(F.count("*").alias("m")).where("m > 1")
-        at = at.join(full, "path").checkpoint()
+        # A bucket that holds many sets is counted, and told its size, in SALTS parts.
+        at = at.withColumn("salt", F.pmod(F.xxhash64(F.lit(6), "rid"), F.lit(SALTS)).cast("int"))
+        parts = at.groupBy("path", "salt").agg(F.count("*").alias("c")).groupBy("path").agg(F.sum("c").alias("m"), F.collect_list("salt").alias("salts"))
+        full = parts.where("m > 1").select("path", "m", F.explode("salts").alias("salt"))
+        at = at.join(full, ["path", "salt"]).drop("salt").checkpoint()
         done = (F.col("m") <= SMALL) | F.lit(level == DEPTH)
         leaves = at.where(done).select("path", "rid", "m")
         out = leaves if out is None else out.unionByName(leaves)
@@ -282,8 +290,9 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
     the number of other rows linked directly (copies included). th is
     xxhash64(text), component the class's own number (null: no words). Text that is null or has no words links with nothing and
     is its own class. Shorter texts than five words are one shingle. Null
-    doc_id takes part; a class of such rows alone has a null id. An empty
-    table gives no rows; other columns are ignored.
+    doc_id takes part; a class of such rows alone has a null id. Texts of any
+    length are read whole; blocks hold fewer sets where these are large. An empty
+    table gives no rows; other columns are ignored, whatever their names.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     rows = materialize(d.mapInArrow(lean(_sketch), "doc_id long, th long, k1 long, k2 long, n long, sig array<int>"), "jaccard-samples")
@@ -316,7 +325,7 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
     read = docs.select(_slot(F.col("doc_id").cast("long")).alias("s"), "text").mapInArrow(lean(again), "k1 long, k2 long, n long, shingles binary")
     full = read.join(chosen, ["k1", "k2", "n"]).groupBy("rid").agg(*[F.first(c).alias(c) for c in ("comp", "n", "copies", "sig", "shingles")])
     full = materialize(full, "jaccard-sets")
-    sizes = full.groupBy("comp").agg(F.count("*").alias("m")).where("m > 1")
+    sizes = full.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
     dealt = _blocks(full.select("rid", "comp").join(sizes, "comp"), ["comp"]).join(full.drop("comp"), "rid")
     links = materialize(_dealt(dealt, ["comp"]).mapInArrow(lean(_grouped(["comp", "bi", "bj"], _exact)), "rid long, root long, links long"), "jaccard-links")
     per_class = links.groupBy("rid").agg(F.sum("links").alias("links"))
@@ -331,19 +340,23 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
 def one_of_each(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
     """The rows of docs without near copies: of each class the row of the smallest (doc_id, text hash) stays.
 
-    Rows without words all stay. Of rows equal in doc_id and text one stays.
+    Rows without words all stay. Of rows equal in doc_id and text one stays,
+    that of the smallest hash over all its columns. All columns are kept, whatever their names; an empty table gives no rows.
     """
     def key(d: DataFrame) -> DataFrame:
-        return d.withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_dn": F.col("doc_id").isNull(), "_t": F.coalesce("th", F.lit(0))})
+        return d.withColumns({"id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "no_id": F.col("doc_id").isNull(), "words": F.coalesce("th", F.lit(0))})
 
-    keys = ["_d", "_dn", "_t"]
+    keys = ["id", "no_id", "words"]
     found = near_duplicates(docs, recall)
-    first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("f")).select("f.doc_id", "f.th", F.lit(True).alias("_single"))
-    bare = found.where("component IS NULL").select("doc_id", "th", F.lit(False).alias("_single")).distinct()
-    kept = key(first.unionByName(bare)).select(*keys, "_single").distinct()
-    d = key(docs.withColumn("th", F.xxhash64("text"))).join(kept, keys)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns])))
-    return d.withColumn("_rank", rank).where(~F.col("_single") | (F.col("_rank") == 1)).select(*docs.columns)
+    first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("f")).select("f.doc_id", "f.th", F.lit(True).alias("single"))
+    bare = found.where("component IS NULL").select("doc_id", "th", F.lit(False).alias("single")).distinct()
+    kept = key(first.unionByName(bare)).select(*keys, "single").distinct()
+    # The caller's row is one column, so that its names cannot meet those used here.
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    d = docs.select(F.struct(*columns).alias("doc"), "doc_id", F.xxhash64("text").alias("th"), F.xxhash64(*columns).alias("whole"))
+    d = key(d).drop("doc_id", "th").join(kept, keys)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("whole"))
+    return d.withColumn("rank", rank).where(~F.col("single") | (F.col("rank") == 1)).select("doc.*")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

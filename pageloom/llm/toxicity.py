@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.llm.words import WIDTH, Words, chunked, give_back, lean, letters, mix, points, prefix_hashes, sliced, split_words
-from pageloom.session import materialize, table
+from pageloom.session import materialize, small_batches, table
 
 TRIM = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„‘’…–—¡¿"
 #: Letters that a character may stand for. Fixed values.
@@ -370,7 +370,8 @@ def char_model(docs: DataFrame) -> CharModel:
         yield pa.record_batch([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["g", "n"])
 
     summed = docs.select("text").where(F.col("text").isNotNull()).mapInArrow(lean(run), "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-    made = summed.toArrow()
+    with small_batches(docs.sparkSession):  # whole texts pass through Python
+        made = summed.toArrow()
     return CharModel((made.column("g").to_numpy(), made.column("n").to_numpy()))
 
 

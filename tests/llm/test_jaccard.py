@@ -56,11 +56,27 @@ def test_join_against_brute_force(spark):
     assert got == want
 
     kept = one_of_each(df).toPandas()
-    assert list(kept.columns) == df.columns
+    assert list(kept.columns) == df.columns and set(kept["th"]) == {"x"}
     bare = sum(not s for s in sets)
     assert len(kept) == bare + len({find(i) for i in range(len(rows)) if sets[i]})
 
 
+def test_callers_columns_come_back_whatever_their_names(spark):
+    names = ["doc_id", "text", "th", "id", "words", "single", "rank", "doc", "whole", "component"]
+    text = "a b c d e f g h"
+    df = spark.createDataFrame([(1, text, *names[2:]), (2, text, *names[2:]), (3, None, *names[2:])], "doc_id long, text string, " + ", ".join(f"{c} string" for c in names[2:]))
+    assert sorted(map(tuple, one_of_each(df).collect())) == [(1, text, *names[2:]), (3, None, *names[2:])]
+
+
+def test_a_large_group_of_near_copies_is_one_class(spark):
+    base = [f"w{i}" for i in range(100)]
+    rows = [(k, " ".join(base[: k % 97] + [f"x{k}"] + base[k % 97 + 1 :])) for k in range(900)]
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(9)).toPandas()
+    sets = [shingles(t) for _, t in rows]
+    want = sum(len(sets[0] & s) >= 0.8 * len(sets[0] | s) for s in sets[1:])
+    assert set(out["class_id"]) == {0} and out.loc[out["doc_id"] == 0, "n_links"].item() == want
+
+
 def test_no_texts(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert near_duplicates(spark.createDataFrame([(1, None), (1, None)], "doc_id long, text string")).count() == 2

@@ -36,6 +36,40 @@ def test_fit_reaches_budgets_exactly_where_brute_force_does():
         assert int((take * lengths).sum()) == max(s for s in sums if s <= budget)
 
 
+def best_sum(lengths, counts, budget):
+    """Largest reachable sum, with a bit for every sum."""
+    reach, mask = 1, (1 << budget + 1) - 1
+    for size, n in zip(lengths, counts, strict=True):
+        k = 1
+        while n > 0:
+            k = min(k, n)
+            reach |= reach << k * size & mask
+            n -= k
+            k *= 2
+    return reach.bit_length() - 1
+
+
+def test_fit_reaches_the_best_sum_of_long_and_of_many_documents():
+    rnd = random.Random(6)
+    tables = [([40_000, 50_000], [1, 1], 50_000)]
+    for k in range(240):
+        lengths = rnd.sample(range(500, 20_001), rnd.randint(1, 8)) if k % 2 else rnd.sample(range(1, 400), rnd.randint(1, 8))
+        counts = [rnd.randint(1, 6) if k % 2 else rnd.randint(20, 60) for _ in lengths]
+        tables.append((lengths, counts, rnd.randint(0, sum(a * b for a, b in zip(lengths, counts, strict=True)))))
+    for lengths, counts, budget in tables:
+        take = fit(np.array(lengths), np.array(counts), budget)
+        assert (take >= 0).all() and (take <= np.array(counts)).all()
+        assert int((take * np.array(lengths)).sum()) == best_sum(lengths, counts, budget), (lengths, counts, budget)
+
+
+def test_callers_columns_come_back_whatever_their_names(spark):
+    names = ["take", "before", "whole", "rank", "cell", "doc", "skey", "h", "n", "copy", "row"]
+    rows = [(k, "a b c", "s", *names) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in names))
+    got = mix(df).collect()
+    assert sorted(tuple(r)[: len(rows[0])] for r in got) == rows and sum(r["copies"] for r in got) == 30
+
+
 def test_mix_meets_targets(spark):
     rnd = random.Random(2)
     rows = [(i, " ".join(["w"] * rnd.randint(0, 40)), f"s{min(i % 9, 5)}", 7, "x") for i in range(900)]

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from pageloom.session import table
 
@@ -29,3 +31,20 @@ def test_stages_bear_odd_rows(spark):
 def test_run_is_the_stages_in_order(spark):
     got = P.run(spark, SF).toPandas()
     assert got["length"].sum() > 0 and set(got.columns) >= {"doc_id", "sequence_id", "ids_crc32"}
+
+
+def test_stages_bear_long_texts_and_clashing_names(spark):
+    names = ["score", "predicted", "copies", "th", "copy", "rank", "lang_pred", "source_size"]
+    texts = ["the and to of the in " * 40_000, "the and er tion " * 12, "the and er tion " * 12, "the of and in " * 9 + " idiot moron loser stupid idiot moron"]
+    rows = [(k, t, "en", "a", 1, *names) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in names))
+    base = table(spark, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(c).alias(c) for c in names])
+    every = base.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1_000_000))
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, every, SF)
+        assert out.columns == docs.columns, name
+        kept = out.where("doc_id >= 1000000")
+        assert {tuple(r) for r in kept.select(*names).distinct().collect()} == {tuple(names)}, name
+        ids = {r[0] - 1_000_000 for r in kept.select("doc_id").collect()}
+        assert ids == {"toxicity": {0, 1, 2}, "language_id": {0, 1, 2, 3}, "jaccard_join": {0, 1, 3}}.get(name, ids), name
+    assert P.pack_sequences(spark, docs, SF).where("doc_id = 0").agg(F.sum("length")).first()[0] > 200_000

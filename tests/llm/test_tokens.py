@@ -122,3 +122,26 @@ def test_blocks_segments_and_damage():
     assert len(raw) * 8 / len(z) < 1.1 * entropy + 0.6
     with pytest.raises(ValueError):
         rans.decode_block(raw[:500] + b"\x01\x02" + raw[502:], t)
+
+
+def test_packing_is_deficit_round_robin(spark):
+    """The stream of packets against a queue-by-queue simulation that carries deficits from round to round."""
+    rows = [(i, "word " * (37 * i % 90), f"s{i % 3}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    weights = {"s0": 5.0, "s1": 2.0, "s2": 1.0}
+    window, packet = 128, 16
+    got = packing.pack(df, window=window, packet=packet, weights=weights).orderBy("sequence_id", "offset").toPandas()
+    path = tokenizer_path(FILES[0])
+    queues = {s: [] for s in sorted(weights)}
+    for i, text, s in rows:
+        n = len(true_ids(path, text))
+        queues[s] += [(i, k, min(packet, n - k)) for k in range(0, n, packet)]
+    deficit, stream = dict.fromkeys(queues, 0.0), []
+    while any(queues.values()):
+        for s, q in queues.items():
+            deficit[s] += window * weights[s] / 8
+            while q and q[0][2] <= deficit[s]:
+                deficit[s] -= q[0][2]
+                stream.append(q.pop(0))
+    want = [i for i, _, n in stream for _ in range(n)]
+    assert [r.doc_id for r in got.itertuples() for _ in range(r.length)] == want
