@@ -12,6 +12,12 @@ from pageloom.session import materialize, table
 LEAST_LANGUAGE = 1 / 3
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with all columns but text renamed to c0, c1, .. (names that no operator adds), and these names in order."""
+    names = [c if c == "text" else f"c{k}" for k, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model predicts to be clean.
 
@@ -19,7 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts of any length are scored whole, other columns (whatever their names) pass, an empty table gives no rows.
     """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out(5, 0))
-    return toxicity.score(docs, model, docs.columns).where("predicted = 0").select(*docs.columns)
+    rows, names = _numbered(docs)
+    return toxicity.score(rows, model, names).where("predicted = 0").select(*names).toDF(*docs.columns)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +36,9 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     any length are one chain, other columns (whatever their names) pass, an empty table gives no rows.
     """
     model = language.fit(docs, ~language.held_out(4, 2))
-    found = language.label(docs, model, docs.columns)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select(*docs.columns)
+    rows, names = _numbered(docs)
+    found = language.label(rows, model, names)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select(*names).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
