@@ -79,6 +79,12 @@ def distance(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.sqrt((x0 - x1) * (x0 - x1) + (y0 - y1) * (y0 - y1))
 
 
+def distance_n(a: Column, b: Column) -> Column:
+    """Distance of two points given as arrays of as many coordinates as they have; null if these differ in number."""
+    squares = F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
+    return F.when(F.size(a) == F.size(b), F.sqrt(squares))
+
+
 def within(x0: Column, y0: Column, x1: Column, y1: Column, radius: float) -> Column:
     return distance(x0, y0, x1, y1) < radius
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -83,11 +84,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def word_distance(a: Column, b: Column) -> Column:
     """Levenshtein distance between two word lists.
 
-    Distinct words of the pair become single characters, so the JVM's string
-    distance does the work: up to 20,000 distinct words in a pair.
+    Distinct words of the pair become single code points (surrogates left out), so
+    the JVM's string distance does the work: up to a million distinct words in a pair.
     """
+    def letter(place: Column) -> Column:
+        code = (place + 19967).cast("long")
+        code = F.when(code < 0xD800, code).otherwise(code + 0x800)
+        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
     def encoded(words: Column, known: Column) -> Column:
-        return F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.lpad(F.hex((F.array_position(known, w) + 19967).cast("long")), 4, "0")), "UTF-16BE")), "")
+        return F.array_join(F.transform(words, lambda w: letter(F.array_position(known, w))), "")
 
     def distance(p: Column) -> Column:
         return let(F.array_distinct(F.concat(p["a"], p["b"])), lambda known: F.levenshtein(encoded(p["a"], known), encoded(p["b"], known)))
@@ -110,16 +116,18 @@ def match_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
             return None
         if not x and not y:
             return 1.0
-        # Costs: fewest edits, then most matches.
-        row = [(j, 0) for j in range(len(y) + 1)]
-        for i, c in enumerate(x, 1):
-            new = [(i, 0)]
-            for j, d in enumerate(y, 1):
-                e, m = row[j - 1]
-                best = (e, m - 1) if c == d else (e + 1, m)
-                new.append(min(best, (row[j][0] + 1, row[j][1]), (new[-1][0] + 1, new[-1][1])))
-            row = new
-        return 2.0 * -row[-1][1] / (len(x) + len(y))
+        # A cost is edits * 2^32 - matches: fewest edits, then most matches. Row by row over the shorter
+        # text's characters; what comes from the left is a running minimum.
+        if len(x) > len(y):
+            x, y = y, x
+        edit = np.int64(1 << 32)
+        other = np.frombuffer(y.encode("utf-32-le"), np.uint32)
+        ramp = edit * np.arange(len(other) + 1)
+        row = ramp.copy()
+        for i, c in enumerate(np.frombuffer(x.encode("utf-32-le"), np.uint32), 1):
+            best = np.minimum(row[1:] + edit, row[:-1] + np.where(other == c, np.int64(-1), edit))
+            row = np.minimum.accumulate(np.concatenate([[i * edit], best]) - ramp) + ramp
+        return 2.0 * int(-row[-1] % edit) / (len(x) + len(y))
 
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 

@@ -13,7 +13,7 @@ from pageloom.functions.geometry import SIDES, Box, contains_strictly, from_corn
 from pageloom.operators.graph import connected_components
 from pageloom.operators.joins import grid_join
 
-BOXES = "page_id long, seg_id int, x_min int, y_min int, x_max int, y_max int"
+BOXES = "page_id {}, seg_id int, x_min int, y_min int, x_max int, y_max int"
 
 
 def box_pairs(boxes: DataFrame, ordered: bool = False) -> DataFrame:
@@ -77,7 +77,7 @@ def cluster_vertices(boxes: DataFrame, radius: float = 70) -> DataFrame:
     Clusters are connected components of ``vertex_edges``; corners on their
     own stay. A box is taken from its first and third corner.
     """
-    number = lambda p, s, c: F.col(p) * F.lit(1 << 22) + F.col(s) * 4 + F.col(c)
+    number = lambda p, s, c: F.struct(F.col(p).alias("p"), F.col(s).cast("int").alias("s"), F.col(c).alias("c"))
     edges = vertex_edges(boxes, radius).select(number("page_id", "i", "ci").alias("src"), number("page_id", "j", "cj").alias("dst"))
     comp = connected_components(edges)
     corners = corner_rows(boxes).withColumn("id", number("page_id", "seg_id", "corner")).join(comp, "id", "left")
@@ -243,7 +243,7 @@ def _per_page(boxes: DataFrame, fold: Callable[..., np.ndarray], extra: tuple[st
             n = np.array([len(m) for m in made], np.int64)
             out = np.concatenate([np.zeros((0, 4)), *made]).astype(np.int32)
             number = np.arange(len(out)) - np.repeat(np.cumsum(n) - n, n)
-            return pa.record_batch([pa.array(np.repeat(page[cuts[:-1]], n)), pa.array(number.astype(np.int32)), *[pa.array(out[:, k].copy()) for k in range(4)]], names=["page_id", "seg_id", *SIDES])
+            return pa.record_batch([pa.array(np.repeat(page[cuts[:-1]], n), t.schema.field("page_id").type), pa.array(number.astype(np.int32)), *[pa.array(out[:, k].copy()) for k in range(4)]], names=["page_id", "seg_id", *SIDES])
 
         for b in batches:
             t = pa.Table.from_batches([*held, b])
@@ -256,8 +256,8 @@ def _per_page(boxes: DataFrame, fold: Callable[..., np.ndarray], extra: tuple[st
             t = pa.Table.from_batches(held)
             yield folded(t, [0, t.num_rows])
 
-    d = boxes.select(F.col("page_id").cast("long").alias("page_id"), "seg_id", *SIDES, *extra)
-    return d.repartition("page_id").sortWithinPartitions("page_id", "seg_id").mapInArrow(run, BOXES)
+    d = boxes.select("page_id", "seg_id", *SIDES, *extra)
+    return d.repartition("page_id").sortWithinPartitions("page_id", "seg_id").mapInArrow(run, BOXES.format(d.schema["page_id"].dataType.simpleString()))
 
 
 def align_read_order(boxes: DataFrame, page_width: int, thresh: float | None = None, wide_part: float | None = None) -> DataFrame:

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.functions.text import clean, file_stem, last_parts, tokens
+from pageloom.functions.text import clean, file_stem, last_parts, suffix_key, tokens
 from pageloom.operators import align as L
 from pageloom.operators import metrics as M
+from pageloom.sources.readers import join_by_key
 
 PAGE = ["file"]
 
@@ -76,6 +77,24 @@ def compare_engines(triples: DataFrame, metrics: Sequence[str] = ("wer", "lev"),
     return out, d.where("reason <> ''").select("key", "reason")
 
 
+def zip_texts(names: DataFrame, texts: DataFrame) -> DataFrame:
+    """file, ordinal, text: the n-th name (file, ordinal) with the n-th text (text, ordinal); what has no partner is left out."""
+    return names.join(texts, "ordinal").select("file", "ordinal", "text")
+
+
+def suffix_errors(files: DataFrame, truth: DataFrame) -> DataFrame:
+    """file, truth_file, chars, bad, error: recognised texts (file, text) against the true text whose name ends in the same key.
+
+    The key is what follows the last underscore of a name. Both texts are cleaned; error is the edit distance over the
+    true text's characters, null without a true text or where that is empty.
+    """
+    guess = files.select("file", F.col("text").alias("guess"))
+    d = join_by_key(guess, truth, suffix_key(F.col("file")), suffix_key(F.col("file")))
+    t, g = clean(F.col("truth")), clean(F.col("guess"))
+    d = d.select("file", "truth_file", F.length(t).alias("chars"), F.levenshtein(t, g).alias("bad"))
+    return d.withColumn("error", F.try_divide("bad", "chars"))
+
+
 def files_with(texts: DataFrame, tag: str) -> DataFrame:
     """Files (file, text) whose text holds ``tag``; of rows with one file the last by ordinal counts."""
     last = texts.groupBy("file").agg(F.max(F.struct("ordinal", "text"))["text"].alias("text"))

@@ -70,20 +70,29 @@ def assign_segments(words: DataFrame, segments: DataFrame) -> DataFrame:
 
     The last of the segments that hold more than INSIDE of the word; else the
     nearest one by the mean distance of the word's centre to two corners, the
-    first of equally near ones, within SEARCH_RADIUS; else null. Both come
-    from one aggregate over one join by page. words: page_id, word_seq, box.
+    first of equally near ones, within SEARCH_RADIUS; else null. A page's segments (a bounded
+    list) meet its words as one array, in one join by page; words are read once and
+    not regrouped. words: page_id, word_seq, box.
     """
-    segs = segments.select("page_id", F.col("seg_id").alias("_seg"), *[F.col(s).alias("_" + s) for s in SIDES])
-    w, s = Box.of(), Box.of("_")
+    page = segments.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("seg_id", *SIDES))).alias("_segs"))
+    w = Box.of()
     cx, cy = w.center
-    far = (distance(cx, cy, s.x_min, s.y_min) + distance(cx, cy, s.x_max, s.y_max)) / 2
-    met = words.select("page_id", "word_seq", *SIDES).join(segs, "page_id")
-    found = met.groupBy("page_id", "word_seq").agg(
-        F.max(F.when(inclusive_overlap(w, s) > INSIDE, F.col("_seg"))).alias("inside_segment_id"),
-        F.min(F.when(far < SEARCH_RADIUS, F.struct(far.alias("d"), F.col("_seg").alias("seg")))).alias("near"),
-    )
-    found = found.select("page_id", "word_seq", "inside_segment_id", F.coalesce("inside_segment_id", "near.seg").alias("read_order_segment_id"))
-    return words.join(found, ["page_id", "word_seq"], "left")
+
+    def box(s: Column) -> Box:
+        return Box(*[s[k] for k in SIDES])
+
+    def far(s: Column) -> Column:
+        b = box(s)
+        return (distance(cx, cy, b.x_min, b.y_min) + distance(cx, cy, b.x_max, b.y_max)) / 2
+
+    holding = F.filter("_segs", lambda s: inclusive_overlap(w, box(s)) > INSIDE)
+    inside = F.try_element_at(holding, F.lit(-1))["seg_id"]
+    near = F.array_min(F.transform("_segs", lambda s: F.struct(far(s).alias("d"), s["seg_id"].alias("seg"))))
+    d = words.join(page, "page_id", "left").withColumn("inside_segment_id", inside)
+    near = F.when(F.col("inside_segment_id").isNull(), near)
+    d = d.withColumn("_near", near)
+    nearest = F.when(F.col("_near.d") < SEARCH_RADIUS, F.col("_near.seg"))
+    return d.withColumn("read_order_segment_id", F.coalesce("inside_segment_id", nearest)).drop("_segs", "_near")
 
 
 def read_order(words: DataFrame) -> DataFrame:

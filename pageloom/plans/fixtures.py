@@ -26,7 +26,7 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("x_max", (F.col("x_min") + F.col("w")).cast("int")).withColumn("y_max", (F.col("y_min") + 60).cast("int")).drop("w")
 
 
-WORDS_SQL = """words AS (
+WORDS_SQL = """words AS MATERIALIZED (
   SELECT doc_id * 1000 + pos // 1600 AS page_id, pos AS word_seq, word, doc_id, pos % 97 = 0 AS stray, (pos // 400) % 4 AS col, ((pos % 400) // 8) // 10 AS band,
     ((pos // 400) % 4) * 1000 + (pos % 8) * 110 + (doc_id * 7 + pos * 13) % 9 + CASE WHEN pos % 97 = 0 THEN 10000 ELSE 0 END AS x_min,
     ((pos % 400) // 8) * 100 + (doc_id * 5 + pos * 3) % 7 AS y_min, x_min + 90 + length(word) % 15 AS x_max, y_min + 60 AS y_max
@@ -44,7 +44,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("page_id", (F.row_number().over(order) - 1).alias("seg_id"), "x_min", "y_min", "x_max", "y_max")
 
 
-SEGMENTS_SQL = WORDS_SQL + """, segments AS (
+SEGMENTS_SQL = WORDS_SQL + """, segments AS MATERIALIZED (
   SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY y_min, x_min, col, band) - 1 AS seg_id, x_min, y_min, x_max, y_max
   FROM (SELECT page_id, col, band, min(x_min) + (doc_id * 11 + col * 3) % 40 AS x_min, min(y_min) AS y_min, max(x_max) + (doc_id * 11 + col * 3) % 40 AS x_max, max(y_max) AS y_max
     FROM words WHERE NOT stray GROUP BY page_id, doc_id, col, band)
@@ -61,7 +61,7 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.unionByName(inner)
 
 
-BOXES_SQL = SEGMENTS_SQL + """, boxes AS (
+BOXES_SQL = SEGMENTS_SQL + """, boxes AS MATERIALIZED (
   SELECT page_id, seg_id, x_min, y_min, x_max, y_max FROM segments
   UNION ALL SELECT page_id, seg_id + 1000, x_min + (x_max - x_min) // 20, y_min + (y_max - y_min) // 20, x_max - (x_max - x_min) // 20, y_max - (y_max - y_min) // 20 FROM segments WHERE seg_id % 5 = 0
 )"""

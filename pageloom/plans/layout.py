@@ -161,11 +161,11 @@ _PAIRS = f"""WITH {X.BOXES_SQL}, pairs AS (
   FROM boxes a JOIN boxes b USING (page_id) WHERE a.seg_id < b.seg_id AND a.x_min < a.x_max AND b.x_min < b.x_max AND a.y_min < a.y_max AND b.y_min < b.y_max
 )"""
 _SMALLER = "smaller AS (SELECT page_id, CASE WHEN a_area < b_area THEN i ELSE j END AS smaller, CASE WHEN a_area < b_area THEN j ELSE i END AS larger, inter / least(a_area, b_area) AS ratio FROM pairs WHERE inter / least(a_area, b_area) > 0.8)"
-_CORNERS = """corners AS (
+_CORNERS = """corners AS MATERIALIZED (
   SELECT page_id, seg_id, k AS corner, CASE WHEN k < 2 THEN x_min ELSE x_max END AS x, CASE WHEN k IN (0, 3) THEN y_min ELSE y_max END AS y FROM boxes, range(4) r(k)
 ), edges AS (
   SELECT page_id, a.seg_id AS i, a.corner AS ci, b.seg_id AS j, b.corner AS cj FROM corners a JOIN corners b USING (page_id)
-  WHERE a.seg_id < b.seg_id AND NOT (a.x = b.x AND a.y = b.y) AND sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) < 70
+  WHERE a.seg_id < b.seg_id AND NOT (a.x = b.x AND a.y = b.y) AND abs(a.x - b.x) < 70 AND abs(a.y - b.y) < 70 AND sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) < 70
 )"""
 
 SQL = {

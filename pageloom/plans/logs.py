@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageloom.functions.geometry import SIDES
 from pageloom.operators import layout as L
@@ -97,10 +98,10 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def box_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segment boxes written as CSV per page and read back."""
+    """Segment boxes of all pages written as CSV and read back."""
     base = work_path(spark, "boxes")
-    W.write_boxes(X.segments(spark, sf_dir).where("page_id % 1000 = 0"), base, "combined")
-    back = spark.read.schema(R.BOX).csv(f"{base}/stage=combined/*")
+    W.write_boxes(X.segments(spark, sf_dir), base, "combined", by_page=False)
+    back = spark.read.schema(T.StructType([T.StructField("page_id", T.LongType()), *R.BOX.fields])).csv(f"{base}/stage=combined")
     return back.groupBy(F.col("x_min").cast("long").alias("x_min")).agg(F.count("*").alias("n"), F.sum("y_max").alias("y_max"))
 
 
@@ -126,5 +127,5 @@ SQL = {
     "failures": f"WITH {X.LOG_SQL} SELECT file_name, count(*) AS n_errors, epoch_us(min(ts)) AS first_error_us FROM log WHERE contains(event, 'error') GROUP BY file_name",
     "load_multiplier": "SELECT item_id, i AS copy FROM benchmark, range(100) r(i)",
     "stream_ingest": _LAST,
-    "box_files": f"WITH {X.SEGMENTS_SQL} SELECT x_min, count(*) AS n, sum(y_max)::BIGINT AS y_max FROM segments WHERE page_id % 1000 = 0 GROUP BY x_min",
+    "box_files": f"WITH {X.SEGMENTS_SQL} SELECT x_min, count(*) AS n, sum(y_max)::BIGINT AS y_max FROM segments GROUP BY x_min",
 }

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.geometry import SIDES
 from pageloom.operators.layout import word_lines
+from pageloom.session import materialize
 
 
 def write_lines(lines: DataFrame, path: str, line: str = "line", mode: str = "overwrite") -> None:
@@ -30,15 +35,24 @@ def words_json(words: DataFrame) -> DataFrame:
 def write_words(words: DataFrame, path: str, quoted: bool = False) -> None:
     """Words in reading order, partitioned by page: the unquoted lines, or (``quoted``) real CSV."""
     if quoted:
-        words.select("page_id", "word", "read_order_segment_id", "confidence", *SIDES).sortWithinPartitions("page_id").write.mode("overwrite").partitionBy("page_id").csv(path)
+        d = words.repartition("page_id").sortWithinPartitions("page_id", "read_pos")
+        d.select("page_id", "word", "read_order_segment_id", "confidence", *SIDES).write.mode("overwrite").partitionBy("page_id").csv(path)
     else:
         d = word_lines(words).repartition("page_id").sortWithinPartitions("page_id", "read_pos")
         d.select("page_id", F.col("line").alias("value")).write.mode("overwrite").partitionBy("page_id").text(path)
 
 
-def write_boxes(boxes: DataFrame, path: str, stage: str) -> None:
-    """Headerless whole-number CSV below ``path``/stage=<stage>/page_id=<page>, in order of seg_id."""
+def write_boxes(boxes: DataFrame, path: str, stage: str, by_page: bool = True) -> None:
+    """Headerless whole-number CSV below ``path``/stage=<stage>, in order of seg_id.
+
+    ``by_page``: a folder page_id=<page> for each page. Without it pages share
+    files, each line beginning with its page: for more pages than a file
+    system can bear as folders.
+    """
     d = boxes.repartition("page_id").sortWithinPartitions("page_id", "seg_id")
+    if not by_page:
+        d.select("page_id", *[F.col(s).cast("int") for s in SIDES]).write.mode("overwrite").csv(f"{path}/stage={stage}")
+        return
     d.select("page_id", *[F.col(s).cast("int") for s in SIDES]).write.mode("overwrite").partitionBy("page_id").csv(f"{path}/stage={stage}")
 
 
@@ -46,3 +60,42 @@ def output_names(image_path: Column) -> tuple[Column, Column]:
     """Names of a page's text and JSON outputs: the image's path up to its ending."""
     stem = F.regexp_replace(image_path, r"\.[^./]*$", "")
     return F.concat(stem, F.lit(".txt")), F.concat(stem, F.lit(".json"))
+
+
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """Each row (name, content) as a file below ``folder``; gives name, ok and the error of those that failed.
+
+    name may hold folders. A file is written under a name of its own and then renamed, so a
+    task that runs again leaves one whole file. One row that fails is a row of the result, not
+    the end of the others. The folder's scheme is what Hadoop's default file system says where it has none.
+    """
+    jvm, conf = files.sparkSession.sparkContext._jvm, files.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(conf).makeQualified(path).toUri().toString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        scheme, rest = uri.split(":", 1)
+        store, root = (fs.LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}:{rest}")
+        for b in batches:
+            errors: list[str | None] = []
+            for name, content in zip(b.column("name").to_pylist(), b.column("content"), strict=True):
+                try:
+                    whole = f"{root}/{name}"
+                    store.create_dir(whole.rsplit("/", 1)[0], recursive=True)
+                    own = f"{whole.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+                    with store.open_output_stream(own) as f:
+                        f.write(content.as_buffer())
+                    store.move(own, whole)
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001 (any failure is the row's result)
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pa.record_batch([b.column("name"), pa.array([e is None for e in errors]), pa.array(errors, pa.string())], names=["name", "ok", "error"])
+
+    return materialize(files.select("name", F.col("content").cast("binary").alias("content")).mapInArrow(run, "name string, ok boolean, error string"), "written")
+
+
+def copy_files(files: DataFrame, folder: str) -> DataFrame:
+    """Read files (key, content) once more below another folder; gives what ``write_files`` gives."""
+    return write_files(files.select(F.col("key").alias("name"), "content"), folder)

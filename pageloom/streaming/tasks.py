@@ -18,7 +18,8 @@ def stream_log(spark: SparkSession, folder: str, schema: T.StructType = LOG, fil
 
 def stream_pages(spark: SparkSession, folder: str, pattern: str = "*.png", files_per_trigger: int = 100) -> DataFrame:
     """New page images as rows path, modificationTime, length, content: one task per file."""
-    return spark.readStream.format("binaryFile").option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_trigger).load(folder)
+    kind = "path string, modificationTime timestamp, length long, content binary"
+    return spark.readStream.format("binaryFile").schema(kind).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_trigger).load(folder)
 
 
 def run_once(stream: DataFrame, path: str, checkpoint: str) -> None:
@@ -47,6 +48,19 @@ def durations(log: DataFrame, begin: str = "starttime", end: str = "endtime") ->
     return d.select("file_name", (F.col("b").cast("double") - F.col("a").cast("double")).alias("seconds"))
 
 
+def time_totals(log: DataFrame, begin: str = "starttime", end: str = "endtime") -> DataFrame:
+    """n_files, n_done, seconds: one row over all files of the log."""
+    d = durations(log, begin, end)
+    return d.agg(F.count("*").alias("n_files"), F.count("seconds").alias("n_done"), F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds"))
+
+
+def progress(log: DataFrame, total: int, end: str = "endtime") -> DataFrame:
+    """done, total, percent (one decimal) and seconds since the log's first event: how far a batch has come."""
+    done = F.count_distinct(F.when(F.col("event") == end, F.col("file_name")))
+    d = log.agg(done.alias("done"), (F.max("ts").cast("double") - F.min("ts").cast("double")).alias("seconds"))
+    return d.select("done", F.lit(total).cast("long").alias("total"), F.round(100 * F.col("done") / F.lit(max(total, 1)), 1).alias("percent"), "seconds")
+
+
 def load_multiplier(files: DataFrame, copies: int = 100) -> DataFrame:
     """Each row ``copies`` times, numbered from 0: a load generator (a fixed factor, by explode)."""
     return files.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
