@@ -84,6 +84,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle(spark: SparkSession) -> None:
+    """Let the driver's JVM collect what finished steps left: plans, broadcasts, and by way of the context cleaner shuffle files.
+
+    Its heap grows to its bound before it would do so by itself, and native memory with it.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a work table whose readers have all finished."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
