@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.llm import jaccard, language, mixing, packing, toxicity
-from pageloom.session import materialize, table
+from pageloom.session import materialize, settle, table
 
 #: Least share of words of one language for a text to pass.
 LEAST_LANGUAGE = 1 / 3
@@ -87,4 +87,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        settle(spark)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pageloom.llm.words import WIDTH, chunked, give_back, lean, letters, mix, sliced, split_words
 from pageloom.operators.graph import connected_components
-from pageloom.session import materialize, shared_dir, table
+from pageloom.session import materialize, settle, shared_dir, table
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: Sampled tokens of a set: the smallest under so many hash functions.
@@ -301,6 +301,7 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
     leaves = paths(classes.select("rid", "sig"), runs_for(recall))
     met = _blocks(leaves, ["path"]).join(classes.select("rid", "n", "sig"), "rid")
     spans = materialize(_dealt(met, ["path"]).mapInArrow(lean(_grouped(["path", "bi", "bj"], _candidates)), "rid long, root long"), "jaccard-spans")
+    settle(docs.sparkSession)
     hang = connected_components(spans, "rid", "root").select(F.col("id").alias("rid"), F.col("component").alias("comp")).checkpoint()
     chosen = hang.join(classes, "rid").select("rid", "comp", "k1", "k2", "n", "copies", "sig", "least")
 
@@ -325,6 +326,7 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
     read = docs.select(_slot(F.col("doc_id").cast("long")).alias("s"), "text").mapInArrow(lean(again), "k1 long, k2 long, n long, shingles binary")
     full = read.join(chosen, ["k1", "k2", "n"]).groupBy("rid").agg(*[F.first(c).alias(c) for c in ("comp", "n", "copies", "sig", "shingles")])
     full = materialize(full, "jaccard-sets")
+    settle(docs.sparkSession)
     sizes = full.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
     dealt = _blocks(full.select("rid", "comp").join(sizes, "comp"), ["comp"]).join(full.drop("comp"), "rid")
     links = materialize(_dealt(dealt, ["comp"]).mapInArrow(lean(_grouped(["comp", "bi", "bj"], _exact)), "rid long, root long, links long"), "jaccard-links")

@@ -22,6 +22,7 @@ _MULTIPLIERS = np.random.default_rng(20240229).integers(1, 2**63, WIDTH, dtype=n
 def give_back() -> None:
     """Free memory of this process goes back to the system."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
