@@ -168,7 +168,25 @@ _CORNERS = """corners AS MATERIALIZED (
   WHERE a.seg_id < b.seg_id AND NOT (a.x = b.x AND a.y = b.y) AND abs(a.x - b.x) < 70 AND abs(a.y - b.y) < 70 AND sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) < 70
 )"""
 
+
+
+def combine_sql(boxes: str, name: str) -> str:
+    """CTEs that end in ``name`` (page_id, seg_id, sides): the greedy union over ``boxes``, one box looked at in each turn. For WITH RECURSIVE."""
+    b, q = "todo[1]", "cur"
+    near = lambda s: f"abs({q}.{s} - {b}.{s}) < 0.05 * (({q}.x_max - {q}.x_min + {b}.x_max - {b}.x_min) / 2)"
+    joined = ", ".join(f"'{s}': {'least' if s.endswith('min') else 'greatest'}({q}.{s}, {b}.{s})" for s in SIDES)
+    row = ", ".join(f"'{s}': {s}::BIGINT" for s in SIDES)
+    more, hit = "len(todo) > 0", f"({near('x_min')} AND {near('x_max')})"
+    return f"""{name}_all AS (SELECT page_id, list({{{row}}} ORDER BY seg_id) AS l FROM {boxes} GROUP BY page_id),
+        {name}_turn AS (SELECT page_id, l[2:] AS todo, l[1:0] AS kept, l[1] AS cur, l[1:0] AS done FROM {name}_all
+          UNION ALL SELECT page_id, CASE WHEN {more} THEN todo[2:] ELSE kept[2:] END, CASE WHEN NOT {more} THEN kept[1:0] WHEN {hit} THEN kept ELSE list_append(kept, {b}) END,
+            CASE WHEN NOT {more} THEN kept[1] WHEN {hit} THEN {{{joined}}} ELSE cur END, CASE WHEN {more} THEN done ELSE list_append(done, cur) END FROM {name}_turn WHERE cur IS NOT NULL),
+        {name}_flat AS (SELECT page_id, unnest(done) AS b, generate_subscripts(done, 1) - 1 AS seg_id FROM {name}_turn WHERE cur IS NULL),
+        {name} AS (SELECT page_id, seg_id, {", ".join(f"b.{s} AS {s}" for s in SIDES)} FROM {name}_flat)"""
+
+
 SQL = {
+    "combine_columns": f"WITH RECURSIVE {X.BOXES_SQL}, {combine_sql('boxes', 'combined')} SELECT page_id, seg_id, {SIDE_LIST} FROM combined",
     "word_boxes": f"WITH {X.WORDS_SQL} SELECT page_id, word_seq, {SIDE_LIST}, word FROM words",
     "segment_boxes": f"WITH {X.SEGMENTS_SQL} SELECT page_id, seg_id, {SIDE_LIST} FROM segments",
     "scaled_boxes": f"""WITH {X.SEGMENTS_SQL} SELECT page_id, seg_id, CAST(trunc(x_min * 512 // 4000 / 512.0::DOUBLE * 4000) AS BIGINT) AS x_min_a, CAST(trunc(x_min * 512 // 4000 * (4000 / 512.0::DOUBLE)) AS BIGINT) AS x_min_b,
