@@ -364,3 +364,20 @@ def one_of_each(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_links", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("kept"))
+
+
+#: All pairs that share a shingle, counted: for small tables only.
+OP3_SQL = f"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: x <> '') AS w FROM documents),
+sh AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {SHINGLE} THEN list_transform(range(1, len(w) - {SHINGLE} + 2), lambda i: array_to_string(w[i : i + {SHINGLE - 1}], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS s FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS MATERIALIZED (SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+pairs AS MATERIALIZED (SELECT i, j FROM common JOIN n x ON x.doc_id = i JOIN n y ON y.doc_id = j WHERE c >= {THRESHOLD} * (x.n + y.n - c) - 1e-9),
+sym AS MATERIALIZED (SELECT i AS a, j AS b FROM pairs UNION ALL SELECT j, i FROM pairs),
+reach AS (SELECT a, b FROM sym UNION SELECT r.a, s.b FROM reach r JOIN sym s ON s.a = r.b),
+class AS (SELECT a AS doc_id, least(a, min(b)) AS class_id FROM reach GROUP BY a),
+links AS (SELECT a AS doc_id, count(*) AS n_links FROM sym GROUP BY a)
+SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(n_links, 0) AS n_links, coalesce(class_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN class USING (doc_id) LEFT JOIN links USING (doc_id)
+"""

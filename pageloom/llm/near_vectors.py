@@ -165,3 +165,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, seed: int = 7,
 
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs of one label: for small tables only.
+OP10_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0
+), u AS MATERIALIZED (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm FROM v),
+pairs AS MATERIALIZED (SELECT a.vec_id AS i, b.vec_id AS j FROM u a JOIN u b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.e) = len(b.e) WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+sym AS MATERIALIZED (SELECT i AS a, j AS b FROM pairs UNION ALL SELECT j, i FROM pairs),
+reach AS (SELECT a, b FROM sym UNION SELECT r.a, s.b FROM reach r JOIN sym s ON s.a = r.b),
+comp AS (SELECT a AS vec_id, least(a, min(b)) AS component_id FROM reach GROUP BY a),
+links AS (SELECT a AS vec_id, count(*) AS n_links FROM sym GROUP BY a)
+SELECT d.vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, d.vec_id) AS component_id, coalesce(component_id, d.vec_id) = d.vec_id AS kept
+FROM embeddings d LEFT JOIN comp USING (vec_id) LEFT JOIN links USING (vec_id)
+"""

@@ -1,10 +1,10 @@
 """Queries of this package and their SQL."""
 
 from pageloom.llm.chat import OP7_SQL, op7_prefix_targets
-from pageloom.llm.jaccard import op3_jaccard_join
+from pageloom.llm.jaccard import OP3_SQL, op3_jaccard_join
 from pageloom.llm.language import op2_language
 from pageloom.llm.mixing import op9_mix_sources
-from pageloom.llm.near_vectors import op10_near_vectors
+from pageloom.llm.near_vectors import OP10_SQL, op10_near_vectors
 from pageloom.llm.packing import op4_pack_mixture
 from pageloom.llm.permutation import op6_permutation_search
 from pageloom.llm.rans import op5_rans_files
@@ -23,4 +23,4 @@ QUERIES = {
     "op9_mix_sources": op9_mix_sources,
     "op10_near_vectors": op10_near_vectors,
 }
-SQL = {"op1_resolve_revisits": OP1_SQL, "op7_prefix_targets": OP7_SQL}
+SQL = {"op1_resolve_revisits": OP1_SQL, "op3_jaccard_join": OP3_SQL, "op7_prefix_targets": OP7_SQL, "op10_near_vectors": OP10_SQL}
