@@ -30,7 +30,7 @@ MOST_BYTES = 10485760
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str = "", keyword: str = "", level: int | None = None) -> DataFrame:
-    """path, length of files below a folder, by ending, keyword and depth below it; contents are not read."""
+    """path, length of files below a folder, by ending, keyword and depth below it; contents are not read. Spark's file source leaves empty files out."""
     d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
     root = F.regexp_replace(F.lit(folder.rstrip("/")), "^file:/*", "/")
     key = F.substring(F.regexp_replace("path", "^file:/*", "/"), F.length(root) + 2, F.lit(1 << 30))
@@ -58,7 +58,7 @@ def read_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file, line_no from 0, line with its line end."""
+    """file, line_no from 0, line with its line end. A file is read whole by one task, so it must be smaller than 2 GB."""
     d = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
     lines = F.filter(F.split("value", r"(?<=\n)"), lambda x: x != "")
     return d.select("file", F.posexplode(lines).alias("line_no", "line"))
