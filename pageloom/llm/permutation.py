@@ -37,7 +37,7 @@ def _order(pivots: np.ndarray, nearest: int, norm: float):  # noqa: ANN202
                     order = np.argsort(-near, axis=1, kind="stable")[:, :nearest].astype(np.int16)
                     offsets = pa.array(np.arange(0, order.size + 1, order.shape[1], dtype=np.int32))
                     out.append(pa.ListArray.from_arrays(offsets, pa.array(order.ravel())))
-                yield pa.record_batch([b.column("vec_id"), b.column("embedding"), *out], names=["vec_id", "embedding", "pivots", "asked"])
+                yield pa.record_batch([b.column("vec_id"), b.column("embedding"), b.column("q"), *out], names=["vec_id", "embedding", "q", "pivots", "asked"])
 
     return run
 
@@ -62,23 +62,26 @@ def _search(n_pivots: int, k: int, share: float, least: int):  # noqa: ANN202
         ids = vectors["vec_id"].to_numpy(np.int64)
         perms = np.stack(vectors["pivots"].to_numpy()).astype(np.int64)
         n, depth = perms.shape
-        # The inverted files: row p holds, for every vector of the shard, depth + 1 less the place at
-        # which p stands in its order, 0 where p is not posted. They are kept whole, as each vector
-        # is in depth / n_pivots of all files.
-        files = np.zeros((n_pivots, n), np.uint8 if depth < 255 else np.uint16)
-        files[perms.ravel(), np.repeat(np.arange(n), depth)] = np.tile(np.arange(depth, 0, -1), n)
-        part, gain = np.empty(n, files.dtype), np.empty(n, np.int32)
+        # The inverted files: for each pivot the vectors that have it among their nearest, with depth less the place where it stands.
+        by_pivot = np.argsort(perms.ravel(), kind="stable")
+        posted, worth = (by_pivot // depth).astype(np.int32), (depth - by_pivot % depth).astype(np.int32)
+        cuts = np.searchsorted(perms.ravel()[by_pivot], np.arange(n_pivots + 1))
         want = min(n, max(least, int(np.ceil(share * n))))
+        alike = ALIKE * depth * (depth + 1) / 2
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for qid, q, perm in zip(queries["vec_id"].to_numpy(np.int64), queries["embedding"], queries["asked"], strict=True):
-            # Footrule distance, pivots that are not posted at place depth + 1: a constant less twice this sum.
-            gain[:] = 0
-            for at, p in enumerate(perm.tolist()):
-                np.minimum(files[p], depth - at, out=part)
-                gain += part
-            gain[ids == qid] = -1
-            least_gain = np.partition(gain, n - want)[n - want]
-            near = np.flatnonzero(gain >= max(0, min(least_gain, ALIKE * depth * (depth + 1) / 2)))
+            lists = [slice(cuts[p], cuts[p + 1]) for p in perm.tolist()]
+            met = np.concatenate([posted[x] for x in lists])
+            # Footrule distance over the posted places, other pivots at place depth + 1: a constant less twice this sum.
+            shared = np.concatenate([np.minimum(worth[x], depth - at) for at, x in enumerate(lists)])
+            gain = np.bincount(met, weights=shared, minlength=n)
+            near = np.flatnonzero(gain)
+            near = near[ids[near] != qid]
+            if len(near) > want:
+                g = gain[near]
+                near = near[g >= min(np.partition(g, len(g) - want)[len(g) - want], alike)]
+            elif len(near) < min(k, n - 1):  # too few share a pivot: a shard without kin of the query
+                near = np.flatnonzero(ids != qid)
             score = x[near] @ np.asarray(q, np.float64)
             best = np.lexsort((ids[near], -score))[:k]
             out.append((np.full(len(best), qid), ids[near][best], score[best]))
@@ -89,8 +92,8 @@ def _search(n_pivots: int, k: int, share: float, least: int):  # noqa: ANN202
 
 
 def nearest(
-    vectors: DataFrame, is_query: Column, k: int = 20, n_pivots: int = 512, depth: int = 128, share: float = 0.15, least: int = 64,
-    shard_rows: int = 2048, query_rows: int = 512, seed: int = 3,
+    vectors: DataFrame, is_query: Column, k: int = 20, n_pivots: int = 512, depth: int = 64, share: float = 0.15, least: int = 400,
+    shard_rows: int = 2048, query_rows: int = 4096, seed: int = 3,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest inner products found for each query row.
 
@@ -98,9 +101,10 @@ def nearest(
     seeded hash of the id, near copies left out: a bounded sample that only
     fits the index. Every vector is represented
     by its ``depth`` nearest pivots in order and lies in one shard. A task
-    takes a shard and a block of queries, posts the shard in pivot inverted
-    files, ranks by footrule distance over them, and scores the nearest
-    ``share`` of the shard (``least`` at least) exactly, in double precision,
+    takes a shard and a block of queries and posts the shard in pivot inverted
+    files, each vector under its nearest pivots alone. A query reads the files of its own
+    nearest pivots; what it meets there is ranked by footrule distance, and the nearest
+    ``share`` of the shard (``least`` at least) are scored exactly, in double precision,
     and with them all whose order is nearly the query's, so that a group of
     near copies is scored whole whatever its size. Indexed vectors are lifted
     to one length first, so that order by angle is order by inner product.
@@ -109,11 +113,12 @@ def nearest(
 
     Vectors that are null, empty, zero, non-finite or of another length than
     most, or have a null id, take no part. Rows of one vec_id count once (the
-    smallest vector). Ties go to the smaller vec_id. No rows: no rows.
+    smallest vector). Ties go to the smaller vec_id. No rows: no rows. Columns other than vec_id, embedding
+    and those that ``is_query`` names are ignored, whatever their names.
     """
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), is_query.alias("q"))
     v = v.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-    v = v.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    v = v.groupBy("vec_id").agg(F.min("embedding").alias("embedding"), F.coalesce(F.max("q"), F.lit(False)).alias("q"))
     shape = v.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     spark = vectors.sparkSession
     if not shape:
@@ -123,14 +128,14 @@ def nearest(
     pivots = spread(np.stack(sample["embedding"].to_numpy()).astype(np.float64), n_pivots)
     depth = min(depth, len(pivots))
     norm = v.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda s, c: s + c.cast("double") * c))).first()[0] ** 0.5
-    fields = "vec_id long, embedding array<float>, pivots array<smallint>, asked array<smallint>"
+    fields = "vec_id long, embedding array<float>, q boolean, pivots array<smallint>, asked array<smallint>"
     index = materialize(v.mapInArrow(_order(pivots, depth, norm), fields), "permutations")
     n = shape["n"]
     shard_rows = max(shard_rows, min(65536, -(-n // 8)))
-    asked = index.where(is_query)
+    asked = index.where("q")
     shards, blocks = -(-n // shard_rows), max(1, -(-asked.count() // query_rows))
-    left = index.drop("asked").withColumn("s", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = asked.drop("pivots").withColumn("b", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    left = index.drop("asked", "q").withColumn("s", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = asked.drop("pivots", "q").withColumn("b", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     found = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInPandas(_search(len(pivots), k, share, least), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pageloom.llm.near_vectors import near_duplicates, plan_tables
@@ -82,3 +83,23 @@ def test_search_recall_and_order(spark):
 def test_few_candidates_are_all_returned(spark):
     out = nearest(frame(spark, data()[:7]), F.col("vec_id") == 0).toPandas()
     assert sorted(out["vec_id"]) == [1, 2, 3, 4, 5, 6]
+
+
+def test_queries_may_be_named_by_any_column(spark):
+    d = frame(spark, data()[:40]).withColumns({"q": F.col("vec_id") == 3, "pivots": F.lit("x"), "s": F.lit(1), "rank": F.lit(2)})
+    out = nearest(d, F.col("q"), k=5).toPandas()
+    assert set(out["query_id"]) == {3} and out["rank"].tolist() == [1, 2, 3, 4, 5] and out.columns.tolist() == ["query_id", "rank", "vec_id", "score"]
+
+
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_recall_on_the_tables(spark, scale):
+    d = spark.read.parquet(f"/root/testdata/{scale}/embeddings.parquet")
+    out = nearest(d, F.col("vec_id") % 20 == 0).toPandas()
+    e = d.toPandas()
+    x, ids = np.stack(e["embedding"].to_numpy()).astype(float), e["vec_id"].to_numpy()
+    hits = []
+    for q, own in out.groupby("query_id"):
+        score = x @ x[ids == q][0]
+        score[ids == q] = -np.inf
+        hits.append(len(set(own["vec_id"]) & set(ids[np.lexsort((ids, -score))[:20]])) / 20)
+    assert len(hits) == (ids % 20 == 0).sum() and np.mean(hits) >= 0.95
