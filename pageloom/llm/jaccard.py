@@ -35,11 +35,25 @@ _MIX = _RNG.integers(0, 2**32, SAMPLES, dtype=np.uint32) | np.uint32(1)
 
 
 def runs_for(recall: float, similarity: float = THRESHOLD, depth: int = DEPTH) -> int:
-    """Runs until a pair at ``similarity`` that is split ``depth`` times is met with probability ``recall``."""
-    q = 1.0
+    """Runs until a pair at ``similarity`` that is split ``depth`` times is met with probability ``recall``.
+
+    All runs draw from the same SAMPLES tokens, of which k agree (binomially):
+    the chance to be met is that of k's runs, averaged over k. A pair that
+    agrees in a smaller share than LEAST_SHARED counts as lost, and no number of runs makes up for it.
+    """
+    k = np.arange(SAMPLES + 1)
+    share = np.array([math.comb(SAMPLES, i) * similarity**i * (1 - similarity) ** (SAMPLES - i) for i in k.tolist()])
+    same = k / SAMPLES
+    q = np.ones(SAMPLES + 1)
     for _ in range(depth):
-        q = 0.75 * similarity * q + 0.25 * (1 - (1 - similarity * q) ** 2)
-    return math.ceil(math.log(1 - recall) / math.log(1 - q))
+        q = 0.75 * same * q + 0.25 * (1 - (1 - same * q) ** 2)
+    share = np.where(k >= math.ceil(LEAST_SHARED * SAMPLES), share, 0.0)
+    if share.sum() <= recall:
+        raise ValueError(f"a recall of {recall} is out of reach with {SAMPLES} samples")
+    runs = 1
+    while (share * (1 - (1 - q) ** runs)).sum() < recall:
+        runs += 1
+    return runs
 
 
 def word_hashes(words: pa.StringArray) -> np.ndarray:

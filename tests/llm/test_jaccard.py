@@ -1,6 +1,8 @@
 import random
 
-from pageloom.llm.jaccard import near_duplicates, one_of_each, runs_for
+import pytest
+
+from pageloom.llm.jaccard import DEPTH, LEAST_SHARED, SAMPLES, THRESHOLD, near_duplicates, one_of_each, runs_for
 
 
 def shingles(text):
@@ -82,5 +84,19 @@ def test_no_texts(spark):
     assert near_duplicates(spark.createDataFrame([(1, None), (1, None)], "doc_id long, text string")).count() == 2
 
 
+def test_runs_reach_the_recall_over_shared_samples():
+    rnd, runs, missed, trials = random.Random(5), runs_for(0.97), 0, 4000
+    for _ in range(trials):  # a pair at similarity 0.8: which samples agree, then runs of chosen paths over them
+        agree = [rnd.random() < THRESHOLD for _ in range(SAMPLES)]
+
+        def met(level):
+            return level == DEPTH or any(agree[rnd.randrange(SAMPLES)] and met(level + 1) for _ in range(1 + (rnd.random() < 0.25)))  # noqa: B023
+
+        missed += sum(agree) < LEAST_SHARED * SAMPLES or not any(met(0) for _ in range(runs))
+    assert missed / trials < 0.03 + 4 * (0.03 / trials) ** 0.5
+    with pytest.raises(ValueError):
+        runs_for(0.999999)
+
+
 def test_runs_grow_with_recall_and_depth():
     assert runs_for(0.9999) > runs_for(0.99) and runs_for(0.99, depth=4) > runs_for(0.99, depth=1)
