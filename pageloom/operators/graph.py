@@ -13,8 +13,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
 
     Randomised contraction: in each round every vertex hooks to the vertex of
     smallest random priority among itself and its neighbours, edges are
-    relabelled and de-duplicated, and the rest goes on. The expected number of
-    edges falls geometrically, whatever the shape (a path, a star of millions).
+    relabelled and de-duplicated, and the rest goes on. Priorities hold for two
+    rounds: in the first a star's hub hooks to its smallest leaf, in the second
+    all others do, so a star of millions is gone after two. As every other round
+    draws anew, the expected number of edges falls geometrically, whatever the
+    shape (a path too).
     Minima are aggregated map-side, and the joins are plain equi-joins, which
     AQE splits when one component is hot. Rounds are cut by checkpoint(), so a
     lost executor never replays them. Edges with a null end or equal ends are
@@ -29,7 +32,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
             break
 
         def ranked(c: Column, turn: int = turn) -> Column:
-            return F.struct(F.xxhash64(F.lit(turn), c).alias("h"), c.alias("v"))
+            return F.struct(F.xxhash64(F.lit(turn // 2), c).alias("h"), c.alias("v"))
 
         hook = e.groupBy("a").agg(F.min(ranked(F.col("b"))).alias("m"))
         hook = hook.select("a", F.least("m", ranked(F.col("a"))).getField("v").alias("to")).checkpoint()

@@ -116,6 +116,12 @@ def test_components_against_union_find(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_a_star_settles_in_two_rounds(spark):
+    edges = spark.range(1, 3000).selectExpr("id AS src", "0L AS dst")
+    got = connected_components(edges, max_rounds=3)  # the third finds nothing left
+    assert got.count() == 3000 and got.where("component != 0").count() == 0
+
+
 def test_bucket_joins(spark):
     rnd = random.Random(7)
     a = [(rnd.randint(0, 2), i, rnd.uniform(-20, 20), rnd.uniform(-20, 20)) for i in range(80)]
