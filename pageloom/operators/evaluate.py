@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.functions.text import clean, file_stem, last_parts, suffix_key, tokens
+from pageloom.functions.text import clean, file_stem, last_parts, suffix_key, text_distance, tokens
 from pageloom.operators import align as L
 from pageloom.operators import metrics as M
 from pageloom.sources.readers import join_by_key
@@ -91,7 +91,7 @@ def suffix_errors(files: DataFrame, truth: DataFrame) -> DataFrame:
     guess = files.select("file", F.col("text").alias("guess"))
     d = join_by_key(guess, truth, suffix_key(F.col("file")), suffix_key(F.col("file")))
     t, g = clean(F.col("truth")), clean(F.col("guess"))
-    d = d.select("file", "truth_file", F.length(t).alias("chars"), F.levenshtein(t, g).alias("bad"))
+    d = d.select("file", "truth_file", F.length(t).alias("chars"), text_distance(t, g).alias("bad"))
     return d.withColumn("error", F.try_divide("bad", "chars"))
 
 
