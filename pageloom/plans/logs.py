@@ -61,8 +61,7 @@ def crop_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each page in reading order as one JSON array; its length and number of words."""
-    w = L.read_order(L.assign_segments(X.words(spark, sf_dir), X.segments(spark, sf_dir)).withColumn("confidence", F.lit(99).cast("double")))
-    j = W.words_json(w)
+    j = W.pages_json(L.assign_pages(X.page_rows(spark, sf_dir), ordered=True), F.lit(99).cast("double"))
     return j.select("page_id", F.size(F.from_json("json", "array<struct<word:string>>")).cast("long").alias("n_words"), F.get_json_object("json", "$[0].word").alias("first_word"))
 
 
