@@ -9,8 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.functions.geometry import SIDES, Box, contains_strictly, from_corners, intersects, iou, overlap_on_smaller
-from pageloom.operators.graph import connected_components
+from pageloom.functions.geometry import SIDES, Box, contains_strictly, intersects, iou, overlap_on_smaller
 from pageloom.operators.joins import grid_join
 
 BOXES = "page_id {}, seg_id int, x_min int, y_min int, x_max int, y_max int"
@@ -71,22 +70,6 @@ def vertex_edges(boxes: DataFrame, radius: float = 70) -> DataFrame:
     return met.where("i < j AND NOT (xi = xj AND yi = yj)")
 
 
-def cluster_vertices(boxes: DataFrame, radius: float = 70) -> DataFrame:
-    """Boxes rebuilt from corners that moved to their cluster's mean, cut to whole pixels.
-
-    Clusters are connected components of ``vertex_edges``; corners on their
-    own stay. A box is taken from its first and third corner.
-    """
-    number = lambda p, s, c: F.struct(F.col(p).alias("p"), F.col(s).cast("int").alias("s"), F.col(c).alias("c"))
-    edges = vertex_edges(boxes, radius).select(number("page_id", "i", "ci").alias("src"), number("page_id", "j", "cj").alias("dst"))
-    comp = connected_components(edges)
-    corners = corner_rows(boxes).withColumn("id", number("page_id", "seg_id", "corner")).join(comp, "id", "left")
-    means = corners.where("component IS NOT NULL").groupBy("component").agg(F.avg("x").cast("int").alias("mx"), F.avg("y").cast("int").alias("my"))
-    moved = corners.join(means, "component", "left").select("page_id", "seg_id", "corner", F.struct(F.coalesce("mx", "x").alias("x"), F.coalesce("my", "y").alias("y")).alias("p"))
-    back = moved.groupBy("page_id", "seg_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("corner", "p"))), lambda v: v["p"]).alias("c"))
-    return back.select("page_id", "seg_id", *from_corners(F.col("c")).named())
-
-
 def clamp_and_validate(boxes: DataFrame, width: int, height: int) -> DataFrame:
     kept = [c for c in boxes.columns if c not in SIDES]
     return boxes.select(*kept, *Box.of().clamped(width, height).named()).where(Box.of().valid)
@@ -226,6 +209,93 @@ def merge_small_page(boxes: np.ndarray, least_height: float = 400, gap: float =
     return np.array(rows).reshape(-1, 4)
 
 
+def cluster_corners(page: np.ndarray, boxes: np.ndarray, radius: float = 70) -> np.ndarray:
+    """Sides [n, 4] of boxes of many pages, rebuilt from corners that moved to their cluster's mean, cut to whole pixels.
+
+    ``page`` ascends. Clusters are what links of ``vertex_edges`` join, union-find over all corners at once; corners on
+    their own stay. Neighbours are found in cells of ``radius``.
+    """
+    n = len(boxes)
+    if not n:
+        return boxes
+    x, y = (boxes[:, k].astype(np.float64).ravel() for k in ([0, 0, 2, 2], [1, 3, 3, 1]))
+    box = np.repeat(np.arange(n), 4)
+    cx, cy = (np.floor(v / radius).astype(np.int64) for v in (x, y))
+    place = np.stack([page[box], cx, cy], axis=1)
+    order = np.lexsort((cy, cx, place[:, 0]))
+    same = np.concatenate([[False], (place[order][1:] == place[order][:-1]).all(axis=1)])
+    starts = np.flatnonzero(~same)
+    sizes = np.diff([*starts, 4 * n])
+    where = {tuple(p): k for k, p in enumerate(place[order[starts]].tolist())}
+    near = [(k, where.get((p, u + du, v + dv))) for (p, u, v), k in where.items() for du, dv in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))]
+    left, right = (np.array(v, np.int64) for v in zip(*[c for c in near if c[1] is not None], strict=True))
+    parent = list(range(4 * n))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    # All corners of two neighbouring cells, as pairs, some at a time.
+    ends = np.cumsum(sizes[left] * sizes[right])
+    linked = np.zeros(4 * n, bool)
+    for lo in range(0, int(ends[-1]), 1 << 20):
+        nth = np.arange(lo, min(lo + (1 << 20), int(ends[-1])))
+        k = np.searchsorted(ends, nth, "right")
+        nth = ends[k] - 1 - nth
+        a, b = order[starts[left[k]] + nth // sizes[right[k]]], order[starts[right[k]] + nth % sizes[right[k]]]
+        dx, dy = x[a] - x[b], y[a] - y[b]
+        met = (box[a] != box[b]) & ((dx != 0) | (dy != 0)) & (np.sqrt(dx * dx + dy * dy) < radius)
+        linked[a[met]] = linked[b[met]] = True
+        for i, j in zip(a[met].tolist(), b[met].tolist(), strict=True):
+            i, j = root(i), root(j)
+            if i != j:
+                parent[max(i, j)] = min(i, j)
+    moved = np.flatnonzero(linked)
+    roots = np.array([root(i) for i in moved.tolist()], np.int64)
+    count = np.bincount(roots, minlength=4 * n)[roots] if len(roots) else np.zeros(0)
+    for v in (x, y):
+        if len(roots):
+            v[moved] = np.trunc(np.bincount(roots, v[moved], 4 * n)[roots] / count)
+    return np.stack([x[0::4], y[0::4], x[2::4], y[2::4]], axis=1).astype(np.int64)
+
+
+def _whole_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Rows sorted by page as tables of whole pages, with the places where a page begins and the last one ends."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        t = pa.Table.from_batches([*held, b])
+        page = t.column("page_id").to_numpy()
+        cuts = [0, *(np.flatnonzero(page[1:] != page[:-1]) + 1).tolist()]
+        if len(cuts) > 1:
+            yield t.slice(0, cuts[-1]), cuts
+        held = t.slice(cuts[-1]).to_batches()
+    if held:
+        t = pa.Table.from_batches(held)
+        yield t, [0, t.num_rows]
+
+
+def cluster_vertices(boxes: DataFrame, radius: float = 70) -> DataFrame:
+    """Boxes rebuilt from corners that moved to their cluster's mean, cut to whole pixels.
+
+    Clusters are the connected components of ``vertex_edges``; corners on their
+    own stay. A box is taken from its first and third corner. Corners of
+    different pages never meet, so boxes come together page by page, in one shuffle.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, cuts in _whole_pages(batches):
+            page = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+            out = cluster_corners(page, np.stack([t.column(s).to_numpy() for s in SIDES], axis=1), radius).astype(np.int32)
+            kept = t.select(["page_id", "seg_id"]).combine_chunks().to_batches()[0]
+            yield pa.record_batch([*kept.columns, *[pa.array(out[:, k].copy()) for k in range(4)]], names=["page_id", "seg_id", *SIDES])
+
+    d = boxes.select("page_id", "seg_id", *SIDES)
+    types = {f.name: f.dataType.simpleString() for f in d.schema.fields}
+    schema = f"page_id {types['page_id']}, seg_id {types['seg_id']}, " + ", ".join(f"{s} int" for s in SIDES)
+    return d.repartition("page_id").sortWithinPartitions("page_id", "seg_id").mapInArrow(run, schema)
+
+
 def _per_page(boxes: DataFrame, fold: Callable[..., np.ndarray], extra: tuple[str, ...] = ()) -> DataFrame:
     """``fold`` of each page's sides in order of seg_id (and of the first row's extra columns), numbered anew.
 
@@ -233,8 +303,6 @@ def _per_page(boxes: DataFrame, fold: Callable[..., np.ndarray], extra: tuple[st
     a page costs its fold, no data frame.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
         def folded(t: pa.Table, cuts: list[int]) -> pa.RecordBatch:
             page = t.column("page_id").to_numpy()
             sides = np.stack([t.column(s).to_numpy() for s in SIDES], axis=1)
@@ -245,46 +313,92 @@ def _per_page(boxes: DataFrame, fold: Callable[..., np.ndarray], extra: tuple[st
             number = np.arange(len(out)) - np.repeat(np.cumsum(n) - n, n)
             return pa.record_batch([pa.array(np.repeat(page[cuts[:-1]], n), t.schema.field("page_id").type), pa.array(number.astype(np.int32)), *[pa.array(out[:, k].copy()) for k in range(4)]], names=["page_id", "seg_id", *SIDES])
 
-        for b in batches:
-            t = pa.Table.from_batches([*held, b])
-            page = t.column("page_id").to_numpy()
-            cuts = [0, *(np.flatnonzero(page[1:] != page[:-1]) + 1).tolist()]
-            if len(cuts) > 1:
-                yield folded(t, cuts)
-            held = t.slice(cuts[-1]).to_batches()
-        if held:
-            t = pa.Table.from_batches(held)
-            yield folded(t, [0, t.num_rows])
+        for t, cuts in _whole_pages(batches):
+            yield folded(t, cuts)
 
     d = boxes.select("page_id", "seg_id", *SIDES, *extra)
     return d.repartition("page_id").sortWithinPartitions("page_id", "seg_id").mapInArrow(run, BOXES.format(d.schema["page_id"].dataType.simpleString()))
 
 
+def page_thresholds(boxes: np.ndarray, page_width: int) -> tuple[float, float]:
+    """``read_order_thresholds`` of one page."""
+    widths, n = np.unique(np.rint((boxes[:, 2] - boxes[:, 0]) / 100) * 100, return_counts=True)
+    modal = float(widths[np.argmax(n)])
+    return float(np.rint(0.8 * modal)), 1.1 * modal / page_width
+
+
 def align_read_order(boxes: DataFrame, page_width: int, thresh: float | None = None, wide_part: float | None = None) -> DataFrame:
     """``align_page`` over every page; thresholds are given, or come from the page's own modal width."""
     if thresh is not None and wide_part is not None:
         return _per_page(boxes, lambda b: align_page(b, thresh, wide_part, page_width))
-    d = boxes.join(read_order_thresholds(boxes, page_width), "page_id")
-    return _per_page(d, lambda b, t, w: align_page(b, float(t), float(w), page_width), ("thresh", "wide_part"))
+    return _per_page(boxes, lambda b: align_page(b, *page_thresholds(b, page_width), page_width))
 
 
 def merge_small_boxes(boxes: DataFrame, least_height: float = 400, gap: float = 100) -> DataFrame:
     return _per_page(boxes, lambda b: merge_small_page(b, least_height, gap))
 
 
+def overlapped(boxes: np.ndarray, ratio: float = 0.8) -> np.ndarray:
+    """Which of one page's boxes ``remove_overlaps`` takes out."""
+    b = boxes.astype(np.int64)
+    w = np.minimum(b[:, None, 2], b[:, 2]) - np.maximum(b[:, None, 0], b[:, 0])
+    h = np.minimum(b[:, None, 3], b[:, 3]) - np.maximum(b[:, None, 1], b[:, 1])
+    area = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
+    valid = (b[:, 0] < b[:, 2]) & (b[:, 1] < b[:, 3])
+    with np.errstate(all="ignore"):
+        over = np.maximum(w, 0) * np.maximum(h, 0) / np.minimum(area[:, None], area) > ratio
+    over &= valid[:, None] & valid
+    n = np.arange(len(b))
+    # The smaller one goes, of equal ones the later.
+    return (over & ((area[:, None] < area) | ((area[:, None] == area) & (n[:, None] > n)))).any(axis=1)
+
+
+def vertical_merge_page(boxes: np.ndarray, gap: int = 50) -> np.ndarray:
+    """``vertical_merge`` of one page's boxes, in order of their sides."""
+    out: list[list[int]] = []
+    for i in np.lexsort((np.arange(len(boxes)), boxes[:, 3], boxes[:, 1], boxes[:, 2], boxes[:, 0])).tolist():
+        x0, y0, x1, y1 = boxes[i].tolist()
+        if out and (out[-1][0], out[-1][2]) == (x0, x1) and abs(y0 - out[-1][3]) < gap:
+            out[-1][3] = y1
+        else:
+            out.append([x0, y0, x1, y1])
+    return np.array(sorted(out), np.int64).reshape(-1, 4)
+
+
 def post_process(boxes: DataFrame, page_width: int, page_height: int) -> DataFrame:
-    """Overlaps out; read order and small boxes on pages of more than 6; corners clustered; columns merged on pages of more than 16; clamped and valid."""
-    def split(d: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-        counted = d.withColumn("_n", F.count("*").over(Window.partitionBy("page_id")))
-        return counted.where(F.col("_n") > n).drop("_n"), counted.where(F.col("_n") <= n).drop("_n")
-
-    columns = ["page_id", "seg_id", *SIDES]
-    d = remove_overlaps(boxes.select(*columns))
-    many, few = split(d, 6)
-    d = merge_small_boxes(align_read_order(many, page_width)).select(*columns).unionByName(few.select(*columns))
-    d = cluster_vertices(d)
-    many, few = split(d, 16)
-    merged = vertical_merge(align_read_order(many, 5000, 250, 0.3)).drop("merged")
-    w = Window.partitionBy("page_id").orderBy("x_min", "y_min", "x_max", "y_max")
-    merged = merged.withColumn("seg_id", (F.row_number().over(w) - 1).cast("int"))
-    return clamp_and_validate(merged.select(*columns).unionByName(few.select(*columns)), page_width, page_height)
+    """Overlaps out; read order and small boxes on pages of more than 6; corners clustered; columns merged on pages of more than 16; clamped and valid.
+
+    All steps stay within a page, so boxes come together page by page once, and no step is a join or a shuffle of its own.
+    """
+    def numbered(ids: np.ndarray, b: np.ndarray, most: int, fold: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        if len(b) <= most:
+            return ids, b
+        out = fold(b).astype(np.int32).astype(np.int64)
+        return np.arange(len(out)), out
+
+    def first(b: np.ndarray) -> np.ndarray:
+        return merge_small_page(align_page(b, *page_thresholds(b, page_width), page_width))
+
+    def last(b: np.ndarray) -> np.ndarray:
+        return vertical_merge_page(align_page(b, 250, 0.3, 5000).astype(np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, cuts in _whole_pages(batches):
+            sides = np.stack([t.column(s).to_numpy() for s in SIDES], axis=1).astype(np.int64)
+            ids = t.column("seg_id").to_numpy().astype(np.int64)
+            made = []
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                kept = ~overlapped(sides[lo:hi])
+                made.append(numbered(ids[lo:hi][kept], sides[lo:hi][kept], 6, first))
+            n = np.array([len(i) for i, _ in made])
+            moved = cluster_corners(np.repeat(np.arange(len(n)), n), np.concatenate([b for _, b in made]))
+            made = [numbered(i, b, 16, last) for (i, _), b in zip(made, np.split(moved, np.cumsum(n)[:-1]), strict=True)]
+            page = np.repeat(np.array(cuts[:-1]), [len(i) for i, _ in made])
+            out = np.concatenate([b for _, b in made]).astype(np.int32)
+            kept = t.column("page_id").combine_chunks().take(pa.array(page))
+            number = np.concatenate([i for i, _ in made]).astype(np.int32)
+            yield pa.record_batch([kept, pa.array(number), *[pa.array(out[:, k].copy()) for k in range(4)]], names=["page_id", "seg_id", *SIDES])
+
+    d = boxes.select("page_id", "seg_id", *SIDES)
+    d = d.repartition("page_id").sortWithinPartitions("page_id", "seg_id").mapInArrow(run, BOXES.format(d.schema["page_id"].dataType.simpleString()))
+    return clamp_and_validate(d, page_width, page_height)
