@@ -278,6 +278,7 @@ def paths(reps: DataFrame, runs: int) -> DataFrame:
         parts = at.groupBy("path", "salt").agg(F.count("*").alias("c")).groupBy("path").agg(F.sum("c").alias("m"), F.collect_list("salt").alias("salts"))
         full = parts.where("m > 1").select("path", "m", F.explode("salts").alias("salt"))
         at = at.join(full, ["path", "salt"]).drop("salt").checkpoint()
+        settle(reps.sparkSession)
         done = (F.col("m") <= SMALL) | F.lit(level == DEPTH)
         leaves = at.where(done).select("path", "rid", "m")
         out = leaves if out is None else out.unionByName(leaves)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.session import shared_dir
+from pageloom.session import settle, shared_dir
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 200) -> DataFrame:
@@ -20,7 +20,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     shape (a path too).
     Minima are aggregated map-side, and the joins are plain equi-joins, which
     AQE splits when one component is hot. Rounds are cut by checkpoint(), so a
-    lost executor never replays them. Edges with a null end or equal ends are
+    lost executor never replays them; after every second round the driver gives
+    back what rounds left. Edges with a null end or equal ends are
     ignored; an empty table gives an empty result.
     """
     shared_dir(edges.sparkSession)
@@ -41,6 +42,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         e = e.join(hook, "a").select(F.col("to").alias("a0"), "b")
         e = e.join(hook.select(F.col("a").alias("b"), F.col("to").alias("b0")), "b")
         e = e.select(F.col("a0").alias("a"), F.col("b0").alias("b")).where("a != b").distinct().checkpoint()
+        if turn % 2:
+            settle(edges.sparkSession)
     else:
         raise RuntimeError("connected components did not settle")
     least = labels.groupBy("rep").agg(F.min("id").alias("component"))
