@@ -348,6 +348,9 @@ def near_duplicates(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
     per_class = links.groupBy("rid").agg(F.sum("links").alias("links"))
     comp = connected_components(links, "rid", "root").withColumnRenamed("id", "rid")
     named = classes.select("rid", "k1", "k2", "n", "copies", "least").join(per_class, "rid", "left").join(comp, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+    # Joined to itself here, and twice by one_of_each: one plan of all of it would be more than the driver has room for beside many tasks.
+    named = materialize(named, "jaccard-named")
+    settle(docs.sparkSession)
     least = named.groupBy("component").agg(F.min("least").alias("class_id"))
     named = named.join(least, "component").select("k1", "k2", "n", "class_id", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     own = rows.where("n = 0").select("doc_id", "th", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component"))
@@ -364,7 +367,8 @@ def one_of_each(docs: DataFrame, recall: float = 0.9999) -> DataFrame:
         return d.withColumns({"id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "no_id": F.col("doc_id").isNull(), "words": F.coalesce("th", F.lit(0))})
 
     keys = ["id", "no_id", "words"]
-    found = near_duplicates(docs, recall)
+    found = materialize(near_duplicates(docs, recall), "jaccard-found")
+    settle(docs.sparkSession)
     first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("f")).select("f.doc_id", "f.th", F.lit(True).alias("single"))
     bare = found.where("component IS NULL").select("doc_id", "th", F.lit(False).alias("single")).distinct()
     kept = key(first.unionByName(bare)).select(*keys, "single").distinct()
